@@ -291,11 +291,12 @@ def repeats(docs: DataFrame, scratch: Scratch, keep: str, id_col: str, text_col:
         return both.where(F.col("first") != F.struct("k1", "k2", "a")) if keep == "first" else both
 
     cells = open_(wide_hit, wide_hit).groupBy("k1", "k2").agg(F.collect_list(F.struct("p", "j")).alias("cells"))
-    segs = scratch.save(texts.drop("grams").dropDuplicates(["k1", "k2"]).join(cells, ["k1", "k2"]).mapInPandas(_cut_out, f"{_KEY}, p long, j int, a long, b long, live long, seg binary") if False else texts.drop("grams").join(cells, ["k1", "k2"]).mapInPandas(_cut_out, f"{_KEY}, p long, j int, a long, b long, live long, seg binary"), "segs")
+    cut = texts.drop("grams").join(cells, ["k1", "k2"]).mapInPandas(_cut_out, f"{_KEY}, p long, j int, a long, b long, live long, seg binary")
+    segs = scratch.save(cut, "segs")
     narrow = segs.mapInPandas(_narrow_groups, f"{_KEY}, p long, j int, m int, a long, b long, every long, shared long")
     narrow_hit = scratch.save(_settled(narrow, "every", keep).drop("every"), "narrowhit")
     marks.append(narrow_hit.where("hit").select("k1", "k2", "a", "b"))
-    parts = open_(narrow_hit, narrow_hit).groupBy("k1", "k2", "p", "j").agg(F.bit_or(F.shiftleft(F.lit(1), F.col("m"))).cast("int").alias("parts"))
+    parts = open_(narrow_hit, narrow_hit).groupBy("k1", "k2", "p", "j").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("m"))).cast("int").alias("parts"))
     single = segs.join(parts, ["k1", "k2", "p", "j"]).mapInPandas(_single, f"{_KEY}, a long, b long, every long")
     single = _settled(single, "every", keep)
     marks.append(single.where("hit").select("k1", "k2", "a", "b"))
