@@ -10,7 +10,8 @@ place of it, so over tables the same question is put to hashes, exactly in the s
    anchors in equal places. One in some 170 bytes is an anchor; those whose string occurs once in the corpus need no more.
 2. The windows of a repeated anchor are cut by their distance to it into groups of 64, then 8, then 1, the same in all documents.
    A group is settled by two hashes: of all bytes its windows touch (occurs elsewhere: all its windows repeat) and of the bytes
-   they share (occurs nowhere else: none does). Only groups that hold the edge of a repeat are cut further, one or two an edge.
+   they share (occurs nowhere else: none does). Only groups that hold the edge of a repeat are cut further, one or two an edge,
+   and as partners for them the first of each set of equal groups.
 
 All of that is counting by hash with partial aggregation and joins that split hot keys: a passage in a third of all documents
 costs as much as the bytes it covers. Repeats within a document are found in place. Hashes are 64-bit polynomials, compared only
@@ -132,7 +133,7 @@ def _groups(at: np.ndarray, lo: np.ndarray, hi: np.ndarray, live: np.ndarray, wi
 def _hashes(h: Hashed, base: np.ndarray | int, p: np.ndarray, o: np.ndarray, size: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(of all bytes, of shared bytes) of groups of windows at distances o to o + size - 1 from p; ``base`` places a document in ``h``."""
     label = mix((o + 1).astype(np.uint64))
-    every = h.spans(base + a, base + b + LENGTH)
+    every = h.spans(base + a, base + b + LENGTH) ^ mix((p - a).astype(np.uint64))  # the distance too: a document's ends clip groups
     shared = h.spans(base + p - o, base + p - o - size + 1 + LENGTH)
     return mix(every ^ label).view(np.int64), mix(shared ^ label).view(np.int64)
 
@@ -257,13 +258,21 @@ def _removal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["k1", "k2", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
-def _settled(groups: DataFrame, by: str, keep: str) -> DataFrame:
-    """``groups`` with ``hit``: the hash ``by`` also occurs elsewhere, or earlier."""
+def _settled(groups: DataFrame, keep: str) -> DataFrame:
+    """``groups`` with ``hit``: the same bytes also stand elsewhere, or earlier; and ``lead``: this is the first group with these bytes."""
     me = F.struct("k1", "k2", "a")
-    met = groups.groupBy(by).agg(F.count("*").alias("n"), *([F.min(me).alias("first")] if keep == "first" else [])).where("n > 1").drop("n")
-    met = met if keep == "first" else met.withColumn("first", F.lit(True))
-    both = groups.join(met, by, "left")
-    return both.withColumn("hit", F.coalesce(F.col("first") != me, F.lit(False)) if keep == "first" else F.col("first").isNotNull()).drop("first")
+    met = groups.groupBy("every").agg(F.count("*").alias("n"), F.min(me).alias("first")).where("n > 1").drop("n")
+    lead = F.coalesce(F.col("first") == me, F.lit(False))
+    met_ = F.col("first").isNotNull()
+    both = groups.join(met, "every", "left").withColumns({"hit": met_ & ~lead if keep == "first" else met_, "lead": lead})
+    return both.drop("first", "every")
+
+
+def _to_cut(groups: DataFrame, keep: str) -> DataFrame:
+    """Settled groups to be cut: those not hit whose shared bytes stand elsewhere too, and as their partners the first of each set of equal ones."""
+    left = F.count_if(~F.col("hit"))
+    met = groups.groupBy("shared").agg(F.count("*").alias("n"), left.alias("left")).where("n > 1").where(F.col("left") > int(keep == "first"))
+    return groups.where("not hit or lead").join(met, "shared", "left_semi")
 
 
 def _keys(id_: Column, text: Column) -> tuple[Column, Column]:
@@ -281,25 +290,17 @@ def repeats(docs: DataFrame, scratch: Scratch, keep: str, id_col: str, text_col:
     wide = scratch.save(texts.mapInPandas(_first_groups(keep), f"{_KEY}, p long, j int, a long, b long, every long, shared long"), "wide")
     marks = [wide.where("p < 0").select("k1", "k2", "a", "b")]
     wide = wide.where("p >= 0")
-    wide_hit = scratch.save(_settled(wide, "every", keep).drop("every"), "widehit")
+    wide_hit = scratch.save(_settled(wide, keep), "widehit")
     marks.append(wide_hit.where("hit").select("k1", "k2", "a", "b"))
-
-    def open_(groups: DataFrame, tried: DataFrame) -> DataFrame:
-        """Groups not settled as a whole whose shared bytes occur elsewhere too."""
-        met = groups.groupBy("shared").agg(F.count("*").alias("n"), *([F.min(F.struct("k1", "k2", "a")).alias("first")] if keep == "first" else [])).where("n > 1")
-        both = tried.where("not hit").join(met, "shared")
-        return both.where(F.col("first") != F.struct("k1", "k2", "a")) if keep == "first" else both
-
-    cells = open_(wide_hit, wide_hit).groupBy("k1", "k2").agg(F.collect_list(F.struct("p", "j")).alias("cells"))
+    cells = _to_cut(wide_hit, keep).groupBy("k1", "k2").agg(F.collect_set(F.struct("p", "j")).alias("cells"))
     cut = texts.drop("grams").join(cells, ["k1", "k2"]).mapInPandas(_cut_out, f"{_KEY}, p long, j int, a long, b long, live long, seg binary")
     segs = scratch.save(cut, "segs")
     narrow = segs.mapInPandas(_narrow_groups, f"{_KEY}, p long, j int, m int, a long, b long, every long, shared long")
-    narrow_hit = scratch.save(_settled(narrow, "every", keep).drop("every"), "narrowhit")
+    narrow_hit = scratch.save(_settled(narrow, keep), "narrowhit")
     marks.append(narrow_hit.where("hit").select("k1", "k2", "a", "b"))
-    parts = open_(narrow_hit, narrow_hit).groupBy("k1", "k2", "p", "j").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("m"))).cast("int").alias("parts"))
+    parts = _to_cut(narrow_hit, keep).groupBy("k1", "k2", "p", "j").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("m"))).cast("int").alias("parts"))
     single = segs.join(parts, ["k1", "k2", "p", "j"]).mapInPandas(_single, f"{_KEY}, a long, b long, every long")
-    single = _settled(single, "every", keep)
-    marks.append(single.where("hit").select("k1", "k2", "a", "b"))
+    marks.append(_settled(single, keep).where("hit").select("k1", "k2", "a", "b"))
     out = marks[0]
     for m in marks[1:]:
         out = out.unionByName(m)
@@ -325,9 +326,9 @@ def removals(docs: DataFrame, keep: str = "none", id_col: str = "doc_id", text_c
     return both.select(F.col("id").alias(id_col), "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"), F.coalesce("spans", F.array().cast(span)).alias("spans"))
 
 
-def suffix_array(data: bytes, separators: int = 0) -> np.ndarray:
-    """Suffix array by prefix doubling."""
-    rank = np.frombuffer(data, np.uint8).astype(np.int64)
+def suffix_array(data: bytes | np.ndarray) -> np.ndarray:
+    """Suffix array of bytes, or of whole numbers, by prefix doubling."""
+    rank = (np.frombuffer(data, np.uint8) if isinstance(data, bytes) else data).astype(np.int64)
     n, k = len(rank), 1
     while True:
         second = np.full(n, -1, np.int64)
@@ -341,7 +342,7 @@ def suffix_array(data: bytes, separators: int = 0) -> np.ndarray:
             return order
 
 
-def lpf(data: bytes) -> np.ndarray:
+def lpf(data: bytes | np.ndarray) -> np.ndarray:
     """Longest previous factor of each position: the longest string that begins there and also at an earlier position.
 
     In suffix order the earlier positions that share most are the nearest smaller position before and after (Crochemore and
