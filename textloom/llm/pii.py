@@ -296,7 +296,10 @@ def collisions(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
             rows = {(kind, re.sub(r"[^\w+]", "", new).lower() if kind in ("card", "phone", "ssn", "iban", "mac") else new.lower() if kind in ("email", "name") else new, hashlib.blake2b(e.encode(), digest_size=16, key=s.keyed.key).digest()) for t in b["t"] for _, _, kind, _, e, new in s.entities(t)}
             yield pd.DataFrame(list(rows), columns=["kind", "surrogate", "entity"])
 
-    found = docs.select(F.col(text_col).alias("t")).mapInPandas(run, "kind string, surrogate string, entity binary")
+    return shared(docs.select(F.col(text_col).alias("t")).mapInPandas(run, "kind string, surrogate string, entity binary"))
+
+
+def shared(found: DataFrame) -> DataFrame:
     pairs = found.groupBy("kind", "surrogate", "entity").count()
     return pairs.groupBy("kind", "surrogate").agg(F.count("*").alias("n")).where("n > 1")
 
