@@ -30,7 +30,7 @@ Model = Callable[[list[str]], list[str | None]]
 
 
 def ask(prompt: Column, model: Model) -> Column:
-    """Replies to the prompts that are not null."""
+    """Replies to the prompts that are not null. Not deterministic, so the planner never sends a prompt twice for two uses of its reply."""
 
     @F.pandas_udf("string")
     def run(p: pd.Series) -> pd.Series:
@@ -40,7 +40,7 @@ def ask(prompt: Column, model: Model) -> Column:
             out[there] = model(p[there].tolist())
         return out
 
-    return run(prompt)
+    return run.asNondeterministic()(prompt)
 
 
 def canned(replies: dict[str, str], default: str | None = None) -> Model:

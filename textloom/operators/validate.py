@@ -30,7 +30,7 @@ def _kind_errors(cells: Column, wanted: dict[str, str], where: str) -> list[Colu
 def validate(lines: DataFrame, value: str = "value", allow_empty_repo_name: bool = False) -> DataFrame:
     """Lines that are not blank, with ``errors`` and ``warnings`` (arrays of messages)."""
     v = F.col(value)
-    df = lines.where(~is_blank(v)).withColumn("_f", record_facts(v))
+    df = lines.where(~is_blank(v)).withColumn("_f", record_facts(F.make_valid_utf8(v)))
     f, r = F.col("_f.fields"), F.col("_f.reward")
     text = lambda cells, name: F.try_element_at(cells, F.lit(name))["text"]
     style = text(r, "style")
@@ -63,7 +63,9 @@ def validate_file(spark: SparkSession, path: str, allow_empty_repo_name: bool =
         lines = numbered_lines(spark, path)
     except AnalysisException:
         return False, None
-    damaged = lines.select(F.col("value").contains("�").alias("bad"), "*")
-    checked = validate(damaged, allow_empty_repo_name=allow_empty_repo_name)
+    checked = validate(lines, allow_empty_repo_name=allow_empty_repo_name)
+    damaged = F.count_if(~F.is_valid_utf8("value")) > 0
+    if lines.agg(damaged).first()[0]:
+        return False, None
     totals = summary(checked).first().asDict()
     return totals["passed"], totals

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 
+import pandas as pd
+from pyspark.sql import functions as F
+
 FORWARDS: dict[str, Callable] = {}
 SCORERS: dict[str, Callable] = {}
 
@@ -37,11 +41,6 @@ def register_reward_score(name: str | Iterable[str]):
 
 def scorer_column(name: str):
     """A registered scorer as a function of columns: struct<score, extra_info (JSON text)>, a batch at a time."""
-    import json
-
-    import pandas as pd
-    from pyspark.sql import functions as F
-
     f = SCORERS[name]
 
     @F.pandas_udf("score double, extra_info string")

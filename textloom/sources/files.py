@@ -110,10 +110,12 @@ def read_settings(path: str) -> dict:
     text = Path(path).read_text(encoding="utf-8")
     try:
         import yaml
-
-        return yaml.safe_load(text) or {}
     except ImportError:
         return _flat_yaml(text)
+    try:
+        return yaml.safe_load(text) or {}
+    except yaml.YAMLError as e:
+        raise ValueError(f"{path}: {e}") from e
 
 
 def _scalar(s: str):
