@@ -24,6 +24,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -146,6 +147,16 @@ _PERSON = re.compile(
 )
 
 
+@lru_cache(maxsize=1)
+def _name_scanner() -> ahocorasick.Automaton:
+    """Finds any title or listed name anywhere; few texts have one, and only those are searched for persons."""
+    a = ahocorasick.Automaton()
+    for w in (*_ALL_TITLES, *_LISTED):
+        a.add_word(w, len(w))
+    a.make_automaton()
+    return a
+
+
 def _found(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, gender) of entities, from the left."""
     out = []
@@ -169,7 +180,7 @@ def _found(text: str) -> list[tuple[int, int, str, str]]:
                 if s.count(":") < 2 or not re.search(r"[0-9A-Fa-f]{2}", s):
                     continue
             out.append((*m.span(), kind, ""))
-    for m in _PERSON.finditer(text):
+    for m in _PERSON.finditer(text) if next(_name_scanner().iter(text), None) else ():
         gender = _ALL_TITLES[m["title"].strip().rstrip(".")] if m["title"] else _LISTED[m["c"]][1]
         first, last = ("a", "b") if m["title"] else ("c", "d")
         for g in (first, last):
