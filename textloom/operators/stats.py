@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import domain, has_url, protocol
@@ -17,9 +17,7 @@ def url_parts(pages: DataFrame, url: str = "url") -> DataFrame:
 
 
 def protocol_counts(pages: DataFrame, url: str = "url") -> DataFrame:
-    """(protocol, n, pct): pct of valid URLs. The total comes from the few counted rows, not from another scan."""
-    from pyspark.sql import Window
-
+    """(protocol, n, pct): pct of valid URLs. The total comes from the few counted rows (a protocol each), not from another scan."""
     n = url_parts(pages, url).groupBy("protocol").agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy())
     return n.select("protocol", "n", F.round(F.col("n") * 100.0 / total, 2).alias("pct"))
@@ -29,8 +27,8 @@ def domain_counts(pages: DataFrame, min_frequency: int = 1, url: str = "url", pr
     """(domain, n) with n at least ``min_frequency``. ``prune_many``: beyond a million domains those seen once go, whatever the threshold."""
     n = url_parts(pages, url).groupBy("domain").agg(F.count("*").alias("n"))
     if prune_many:
-        many = n.agg((F.count("*") > MANY).alias("many"))
-        n = n.crossJoin(F.broadcast(many)).where(~F.col("many") | (F.col("n") >= max(2, min_frequency))).drop("many")
+        many = n.agg(F.count("*") > MANY).scalar()
+        n = n.where(~many | (F.col("n") >= max(2, min_frequency)))
     return n.where(F.col("n") >= min_frequency) if min_frequency > 1 else n
 
 
@@ -42,9 +40,9 @@ def top_domains(pages: DataFrame, k: int = TOP, url: str = "url") -> DataFrame:
 def top_shares(pages: DataFrame, k: int = 20, url: str = "url") -> DataFrame:
     """(domain, n, pct of all valid URLs) of the ``k`` most frequent domains."""
     n = domain_counts(pages, url=url)
-    total = n.agg(F.sum("n").alias("total"))
+    total = n.agg(F.sum("n")).scalar()
     best = n.orderBy(F.desc("n"), "domain").limit(k)
-    return best.crossJoin(F.broadcast(total)).select("domain", "n", F.round(F.col("n") * 100.0 / F.col("total"), 2).alias("pct"))
+    return best.select("domain", "n", F.round(F.col("n") * 100.0 / total, 2).alias("pct"))
 
 
 def url_summary(pages: DataFrame, min_frequency: int = 2, url: str = "url") -> DataFrame:
