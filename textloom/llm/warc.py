@@ -81,14 +81,14 @@ def parse(member: bytes) -> tuple[dict[str, str], bytes]:
     return fields, payload
 
 
-def referred(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """(page_id, url-less) rows with digest, length and the page that a revisit refers to."""
+def referred(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """(i, u, h, d, n, ref): id, URL, payload, digest, length, and the page that a revisit refers to."""
     html = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = pages.withColumns({"__warc_html": html, "__warc_digest": F.sha2(html, 256), "__warc_n": F.octet_length(html).cast("long")})
-    narrow = pages.select(F.col(id_col).alias("i"), F.sha2(html, 256).alias("d"), F.octet_length(html).alias("n")).where(F.col("n") >= LEAST)
-    twins = narrow.groupBy("d").agg(F.count("*").alias("k"), F.min("i").alias("first")).where("k > 1 and first is not null").select("d", "first")
-    both = rows.join(twins, F.col("__warc_digest") == F.col("d"), "left")
-    return both.withColumn("__warc_ref", F.when(~F.col(id_col).eqNullSafe(F.col("first")), F.col("first")))
+    id_ = F.col(id_col).cast("long")
+    rows = pages.select(id_.alias("i"), F.col(url_col).alias("u"), html.alias("h"), F.sha2(html, 256).alias("d"), F.octet_length(html).cast("long").alias("n"))
+    twins = rows.where(F.col("n") >= LEAST).groupBy("d").agg(F.count("*").alias("k"), F.min("i").alias("first")).where("k > 1 and first is not null").select("d", "first")
+    both = rows.join(twins, "d", "left")
+    return both.withColumn("ref", F.when(~F.col("i").eqNullSafe(F.col("first")), F.col("first"))).drop("first")
 
 
 def write_archives(pages: DataFrame, folder: str, scratch: Scratch, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -112,9 +112,8 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch, id_col: str
         if out is not None:
             out.close()
 
-    r = referred(pages, id_col, html_col)
     # A revisit carries no payload, so Python does not get it.
-    rows = r.select(F.col(id_col).cast("long").alias("i"), F.col(url_col).alias("u"), F.when(F.col("__warc_ref").isNull(), F.col("__warc_html")).alias("h"), F.col("__warc_digest").alias("d"), F.col("__warc_n").alias("n"), F.col("__warc_ref").cast("long").alias("ref"))
+    rows = referred(pages, id_col, url_col, html_col).select("i", "u", F.when(F.col("ref").isNull(), F.col("h")).alias("h"), "d", "n", "ref")
     return scratch.save(rows.mapInPandas(run, INDEX), "index")
 
 
