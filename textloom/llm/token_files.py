@@ -24,6 +24,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,9 @@ from ._util import Scratch, file_system, make_dir, small_batches
 
 END_ID = 2
 _SKIP, _IDS, _MAGIC = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
+#: Signs that end words; no apostrophe, which the pre-tokeniser may keep with what follows. Letters below this one are old ones, on
+#: which Python and the tokeniser agree.
+_TAIL, _LETTERS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", "ɐ"
 
 
 @dataclass(frozen=True)
@@ -45,7 +49,7 @@ class Vocabulary:
 
     path: str
     end_id: int = END_ID
-    cache_pieces: int = 400_000
+    cache_pieces: int = 800_000
 
 
 class Encoder:
@@ -58,41 +62,53 @@ class Encoder:
         names = [self.tok.id_to_token(i) or "" for i in range(self.tok.get_vocab_size())]
         self.begins = {" ": np.array([x.startswith("Ġ") for x in names]), "\n": np.array([x.startswith("Ċ") for x in names])}
         self.known: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.missed = 0
 
     def _ids(self, text: str) -> np.ndarray:
         return np.asarray(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _learn(self, pieces: list[str], found: dict[str, bytes]) -> None:
-        """Pieces that begin with a line feed are encoded as they are, all others after one space; plain ones many in a string."""
-        lines = [p for p in pieces if p[0] == "\n"]
-        plain = [p for p in pieces if p[0] != "\n" and " " not in p]
-        for lead, group, sep, glue in (("", lines, "\n", ""), (" ", plain, " ", " ")):
-            for k in range(0, len(group), 2000):
-                part = group[k : k + 2000]
-                ids = self._ids(lead + glue.join(part))
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces. Those that begin with a line feed are encoded as they are, all others after one space, many in a string. A word
+        with a tail of signs is cut before the tail, as this vocabulary's pre-tokeniser cuts, so the word may be known already."""
+        lines, words, odd, tailed = [], [], [], []
+        for p in pieces:
+            if p[0] == "\n":
+                lines.append(p)
+            elif " " in p:
+                odd.append(p)
+            elif p.isalpha():
+                words.append(p)
+            elif (q := p.rstrip(_TAIL)) != p and q.isalpha() and max(q) < _LETTERS:
+                tailed.append((p, q))
+            else:
+                words.append(p)
+        known, got = self.known, {}
+        words += {q for _, q in tailed if q not in known and q not in pieces}
+        for lead, group in (("", lines), (" ", words)):
+            sep = lead or "\n"
+            for k in range(0, len(group), 4000):
+                part = group[k : k + 4000]
+                joined = [lead + lead.join(part[j : j + 200]) for j in range(0, len(part), 200)]
+                ids = np.fromiter(chain.from_iterable(e.ids for e in self.tok.encode_batch_fast(joined, add_special_tokens=False)), dtype="<u4")
                 starts = np.flatnonzero(self.begins[sep][ids])
                 if len(starts) != len(part):  # white space inside a piece: one by one
-                    found.update((p, self._ids(lead + p).tobytes()) for p in part)
+                    odd += part
                     continue
                 raw, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
-                found.update(zip(part, map(raw.__getitem__, map(slice, cuts, cuts[1:])), strict=True))
-        found.update((p, self._ids(" " + p).tobytes()) for p in pieces if p[0] != "\n" and " " in p)
-
-    def _table(self, got: list[list[str]]) -> dict[str, bytes]:
-        """Ids of pieces. A full table stays as it is, since common pieces come early, until it misses too often."""
-        new = list({p for rest in got for p in rest if p not in self.known})
-        if not new:
-            return self.known
-        found = self.known
-        if len(found) + len(new) > self.limit:
-            self.missed += len(new)
-            if self.missed > 4 * self.limit:
-                self.known, self.missed = {}, 0
-            found = {p: x for rest in got for p in rest if (x := self.known.get(p)) is not None}
-            new = [p for p in {p for rest in got for p in rest} if p not in found]
-        self._learn(new, found)
-        return found
+                got.update(zip(part, map(raw.__getitem__, map(slice, cuts, cuts[1:])), strict=True))
+        got.update((p, self._ids(p if p[0] == "\n" else " " + p).tobytes()) for p in odd)
+        for p, q in tailed:
+            got[p] = (got.get(q) or known[q]) + self._tail(p[len(q) :])
+        return got
+
+    def _tail(self, signs: str) -> bytes:
+        raw = self.tails.get(signs)
+        if raw is None:
+            if len(self.tails) > 100_000:
+                self.tails.clear()
+            raw = self.tails[signs] = self._ids(signs).tobytes()
+        return raw
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text with the end id, as little-endian bytes; at most some MB of text at a time."""
@@ -113,9 +129,29 @@ class Encoder:
         return out + self._join(heads, rests)
 
     def _join(self, heads: list[str], rests: list[list[str]]) -> list[bytes]:
-        table = self._table(rests)
+        """A full table stays as it is, since common pieces come early, until it misses too often."""
+        found = [list(map(self.known.get, rest)) for rest in rests]
+        missing: set[str] = set()
+        gaps: list[list[int]] = []
+        for rest, ids in zip(rests, found, strict=True):
+            k, at = -1, []
+            for _ in range(ids.count(None)):
+                k = ids.index(None, k + 1)
+                at.append(k)
+            missing.update(map(rest.__getitem__, at))
+            gaps.append(at)
+        got = self._learn(missing) if missing else {}
+        for rest, ids, at in zip(rests, found, gaps, strict=True):
+            for k in at:
+                ids[k] = got[rest[k]]
+        if len(self.known) + len(got) <= self.limit:
+            self.known.update(got)
+        else:
+            self.missed += len(got)
+            if self.missed > 8 * self.limit:
+                self.known, self.missed = {}, 0
         first = self.tok.encode_batch_fast(heads, add_special_tokens=False)
-        return [np.asarray(h.ids, dtype="<u4").tobytes() + b"".join([table[p] for p in rest]) + self.end for h, rest in zip(first, rests, strict=True)]
+        return [np.asarray(h.ids, dtype="<u4").tobytes() + b"".join(ids) + self.end for h, ids in zip(first, found, strict=True)]
 
 
 def _runs(parts: list[str]) -> tuple[str, list[str]]:
@@ -248,7 +284,8 @@ def read_tokens(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> Dat
                         span = range(k, min(k + 4096, len(r)))
                         yield pd.DataFrame({"id": pd.array([ids[j] for j in span], dtype="Int64"), "start": starts[span.start : span.stop], "n_tokens": n[span.start : span.stop], "ids_crc32": [zlib.crc32(r.read(j)) for j in span]})
 
-    return files.repartition("path").mapInPandas(run, "id long, start long, n_tokens long, ids_crc32 long").withColumnRenamed("id", id_col)
+    n = max(1, manifest.count())  # a task a file: rows are few and small here, what they name is not
+    return files.repartition(n, "path").mapInPandas(run, "id long, start long, n_tokens long, ids_crc32 long").withColumnRenamed("id", id_col)
 
 
 def token_table(docs: DataFrame, vocabulary: Vocabulary, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
