@@ -79,6 +79,17 @@ def test_files_are_seekable_zstandard(spark):
     assert seen == sorted(texts)
 
 
+def test_only_wanted_documents_are_read(spark):
+    docs = [(i, f"text {i} " * (i % 5)) for i in range(300)] + [(77, "again"), (None, "no id")]
+    folder = make_dir(spark, "tokentest")
+    manifest = tf.write_tokens(documents(spark, docs).repartition(3), V, folder, Scratch(spark, "tokentest"))
+    wanted = spark.createDataFrame([(5,), (5,), (77,), (299,), (0,), (1000,), (None,)], "doc_id long")
+    got = sorted((r.doc_id, tuple(r.ids)) for r in tf.fetch(manifest, folder, wanted).collect())
+    want = [(d, t) for d, t in docs if d in (0, 5, 77, 299)]
+    assert got == sorted((d, tuple(np.frombuffer(raw, dtype="<u4").tolist())) for (d, _), raw in zip(want, plain([t for _, t in want])))
+    assert tf.fetch(manifest, folder, wanted.limit(0)).collect() == []
+
+
 def test_damage_is_noticed():
     out = io.BytesIO()
     w = tf.FrameWriter(out)

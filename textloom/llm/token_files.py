@@ -236,7 +236,7 @@ class FrameReader:
 
 
 def write_tokens(docs: DataFrame, vocabulary: Vocabulary, folder: str, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes the files; returns the manifest: a row per file with its number, path, documents and ids (all of them)."""
+    """Writes the files; returns the manifest: a row per file with its number, path, documents, ids (all of them), first and last document."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -256,11 +256,12 @@ def write_tokens(docs: DataFrame, vocabulary: Vocabulary, folder: str, scratch:
         if writer is not None:
             writer.close()
             stream.close()
-            yield pd.DataFrame({"part": [part], "path": [path], "n_docs": [len(writer.ids)], "n_ids": [n]})
+            ends = pd.array([writer.ids[0], writer.ids[-1]], dtype="Int64")
+            yield pd.DataFrame({"part": [part], "path": [path], "n_docs": [len(writer.ids)], "n_ids": [n], "first": ends[:1], "last": ends[1:]})
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     rows = rows.repartitionByRange("id", F.xxhash64("t")).sortWithinPartitions("id", F.xxhash64("t"))
-    return scratch.save(rows.mapInPandas(run, "part int, path string, n_docs long, n_ids long"), "manifest")
+    return scratch.save(rows.mapInPandas(run, "part int, path string, n_docs long, n_ids long, first long, last long"), "manifest")
 
 
 def read_tokens(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
@@ -288,6 +289,37 @@ def read_tokens(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> Dat
     return files.repartition(n, "path").mapInPandas(run, "id long, start long, n_tokens long, ids_crc32 long").withColumnRenamed("id", id_col)
 
 
+def fetch(manifest: DataFrame, folder: str, wanted: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, ids array<long>) of the wanted documents: only the seek tables of their files and their own frames are read.
+
+    A wanted id goes to every file whose range holds it (two where equal ids straddle a cut); repeated ones are fetched once, null
+    and unknown ones not at all. What is sent to the executors is two numbers a file.
+    """
+    rows = manifest.where("last is not null").select("part", "path", F.coalesce("first", F.lit(-(1 << 63))).alias("first"), "last").orderBy("part").toPandas()
+    held = manifest.sparkSession.sparkContext.broadcast((rows["first"].to_numpy(), rows["last"].to_numpy(), rows["path"].tolist()))
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first, last, paths = held.value
+        for b in batches:
+            ids = b["id"].to_numpy()
+            lo, hi = np.searchsorted(last, ids, "left"), np.searchsorted(first, ids, "right")
+            yield pd.DataFrame([(paths[k], i) for i, x, y in zip(ids.tolist(), lo.tolist(), hi.tolist(), strict=True) for k in range(x, y)], columns=["path", "id"])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, _ = file_system(folder)
+        for b in batches:
+            for path, g in b.groupby("path", sort=False):
+                with fs.open_input_file(path) as f:
+                    r, ask = FrameReader(f), set(g["id"].tolist())
+                    for k, i in enumerate(r.ids()):
+                        if i in ask:
+                            yield pd.DataFrame({"id": [i], "ids": [np.frombuffer(r.read(k), dtype="<u4").astype(np.int64)]})
+
+    ids = wanted.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct()
+    placed = ids.mapInPandas(place, "path string, id long")
+    return placed.repartition("path").sortWithinPartitions("path").mapInPandas(read, "id long, ids array<long>").withColumnRenamed("id", id_col)
+
+
 def token_table(docs: DataFrame, vocabulary: Vocabulary, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes the documents' ids to ``folder`` (one of its own in the shared folder by default) and returns what the files say."""
     spark = docs.sparkSession
