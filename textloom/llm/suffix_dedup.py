@@ -118,16 +118,18 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _groups(at: np.ndarray, lo: np.ndarray, hi: np.ndarray, live: np.ndarray, windows: int) -> pd.DataFrame:
-    """Groups of 64 of the windows of anchors that have a live window: anchor, number, first and last window."""
+    """Groups of 64 of the windows of anchors that have a live window: anchor, number, first and last window, and a bit for each window
+    that is live and this anchor's."""
     first, last = (at - hi) // WIDE, (at - lo) // WIDE
     n = last - first + 1
     k = np.repeat(np.arange(len(at)), n)
     j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[k]
     p = at[k]
     a, b = np.maximum(0, p - WIDE * j - WIDE + 1), np.minimum(windows - 1, p - WIDE * j)
-    count = np.concatenate([[0], np.cumsum(live)])
-    some = count[np.minimum(b, hi[k]) + 1] > count[np.maximum(a, lo[k])]
-    return pd.DataFrame({"p": p, "j": j, "a": a, "b": b})[some]
+    i = a[:, None] + np.arange(WIDE)
+    bits = (i >= lo[k][:, None]) & (i <= np.minimum(b, hi[k])[:, None]) & live[np.minimum(i, windows - 1)]
+    g = pd.DataFrame({"p": p, "j": j, "a": a, "b": b, "live": np.packbits(bits, axis=1, bitorder="little").view("<i8").ravel()})
+    return g[g["live"] != 0]
 
 
 def _hashes(h: Hashed, base: np.ndarray | int, p: np.ndarray, o: np.ndarray, size: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,35 +168,25 @@ def _first_groups(keep: str):
                 again, first = x.within()
                 s, e = runs(again if keep == "none" else again & ~first)
                 if len(s):
-                    yield pd.DataFrame({"k1": k1, "k2": k2, "p": -1, "j": 0, "a": s, "b": e, "every": 0, "shared": 0})
+                    yield pd.DataFrame({"k1": k1, "k2": k2, "p": -1, "j": 0, "a": s, "b": e, "live": 0, "every": 0, "shared": 0})
                 met = np.isin(x.gram.view(np.int64), grams)
                 g = _groups(x.at[met], x.lo[met], x.hi[met], ~again | first, x.windows)
                 if len(g):
                     p, j, a, z = (g[c].to_numpy() for c in "pjab")
                     every, shared = _hashes(x.h, 0, p, WIDE * j, WIDE, a, z)
-                    yield pd.DataFrame({"k1": k1, "k2": k2, "p": p, "j": j, "a": a, "b": z, "every": every, "shared": shared})
+                    yield pd.DataFrame({"k1": k1, "k2": k2, "p": p, "j": j, "a": a, "b": z, "live": g["live"].to_numpy(), "every": every, "shared": shared})
 
     return run
 
 
 def _cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Groups to be cut, with their bytes and a bit for each window that is theirs to settle."""
+    """Groups to be cut, with their bytes."""
     for b in batches:
+        rows = []
         for k1, k2, t, cells in zip(b["k1"], b["k2"], b["t"], b["cells"], strict=True):
             data = _bytes(t)
-            x = Anchored(data)
-            again, first = x.within()
-            live = ~again | first
-            rows = []
-            where = np.searchsorted(x.at, [c["p"] for c in cells])
-            for c, k in zip(cells, where.tolist(), strict=True):
-                p, j = c["p"], c["j"]
-                a, z = max(0, p - WIDE * j - WIDE + 1), min(x.windows - 1, p - WIDE * j)
-                lo, hi = max(a, int(x.lo[k])), min(z, int(x.hi[k]))
-                bits = np.zeros(WIDE, np.uint8)
-                bits[lo - a : hi - a + 1] = live[lo : hi + 1]
-                rows.append((k1, k2, p, j, a, z, int(np.packbits(bits, bitorder="little").view("<i8")[0]), data[a : z + LENGTH]))
-            yield pd.DataFrame(rows, columns=["k1", "k2", "p", "j", "a", "b", "live", "seg"])
+            rows += [(k1, k2, c["p"], c["j"], c["a"], c["b"], c["live"], data[c["a"] : c["b"] + LENGTH]) for c in cells]
+        yield pd.DataFrame(rows, columns=["k1", "k2", "p", "j", "a", "b", "live", "seg"])
 
 
 def _unpacked(b: pd.DataFrame) -> tuple[Hashed, np.ndarray, np.ndarray]:
@@ -258,20 +250,27 @@ def _removal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["k1", "k2", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
-def _settled(groups: DataFrame, keep: str) -> DataFrame:
-    """``groups`` with ``hit``: the same bytes also stand elsewhere, or earlier; and ``lead``: this is the first group with these bytes."""
+def _settled(groups: DataFrame, keep: str, scratch: Scratch, name: str) -> DataFrame:
+    """``groups`` with ``hit``: the same bytes also stand elsewhere, or earlier; and ``lead``: this is the first group with these bytes.
+
+    What is counted is written first: a join of two written tables can split a hash that holds a large part of the rows.
+    """
     me = F.struct("k1", "k2", "a")
     met = groups.groupBy("every").agg(F.count("*").alias("n"), F.min(me).alias("first")).where("n > 1").drop("n")
+    met = scratch.save(met, f"{name}met")
     lead = F.coalesce(F.col("first") == me, F.lit(False))
     met_ = F.col("first").isNotNull()
     both = groups.join(met, "every", "left").withColumns({"hit": met_ & ~lead if keep == "first" else met_, "lead": lead})
-    return both.drop("first", "every")
+    done = scratch.save(both.drop("first", "every"), f"{name}hit")
+    scratch.drop(f"{name}met", name)
+    return done
 
 
-def _to_cut(groups: DataFrame, keep: str) -> DataFrame:
+def _to_cut(groups: DataFrame, keep: str, scratch: Scratch, name: str) -> DataFrame:
     """Settled groups to be cut: those not hit whose shared bytes stand elsewhere too, and as their partners the first of each set of equal ones."""
     left = F.count_if(~F.col("hit"))
     met = groups.groupBy("shared").agg(F.count("*").alias("n"), left.alias("left")).where("n > 1").where(F.col("left") > int(keep == "first"))
+    met = scratch.save(met.select("shared"), f"{name}open")
     return groups.where("not hit or lead").join(met, "shared", "left_semi")
 
 
@@ -283,24 +282,23 @@ def repeats(docs: DataFrame, scratch: Scratch, keep: str, id_col: str, text_col:
     """(texts that share an anchor, windows to remove as (k1, k2, a, b), both ends included)."""
     rows = docs.select(*_keys(F.col(id_col), F.col(text_col)), F.col(text_col).alias("t")).where(F.octet_length("t") >= LENGTH)
     anchors = scratch.save(rows.mapInPandas(_anchors, f"{_KEY}, gram long"), "anchors")
-    common = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    common = scratch.save(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "common")
     grams = anchors.join(common, "gram", "left_semi").groupBy("k1", "k2").agg(F.collect_set("gram").alias("grams"))
     texts = scratch.save(rows.join(grams, ["k1", "k2"]), "texts")
-    scratch.drop("anchors")
-    wide = scratch.save(texts.mapInPandas(_first_groups(keep), f"{_KEY}, p long, j int, a long, b long, every long, shared long"), "wide")
-    marks = [wide.where("p < 0").select("k1", "k2", "a", "b")]
-    wide = wide.where("p >= 0")
-    wide_hit = scratch.save(_settled(wide, keep), "widehit")
-    marks.append(wide_hit.where("hit").select("k1", "k2", "a", "b"))
-    cells = _to_cut(wide_hit, keep).groupBy("k1", "k2").agg(F.collect_set(F.struct("p", "j")).alias("cells"))
+    scratch.drop("anchors", "common")
+    wide = scratch.save(texts.mapInPandas(_first_groups(keep), f"{_KEY}, p long, j int, a long, b long, live long, every long, shared long"), "wide")
+    own = scratch.save(wide.where("p < 0").select("k1", "k2", "a", "b"), "own")
+    wide_hit = _settled(wide.where("p >= 0"), keep, scratch, "wide")
+    cells = _to_cut(wide_hit, keep, scratch, "wide").groupBy("k1", "k2").agg(F.collect_set(F.struct("p", "j", "a", "b", "live")).alias("cells"))
     cut = texts.drop("grams").join(cells, ["k1", "k2"]).mapInPandas(_cut_out, f"{_KEY}, p long, j int, a long, b long, live long, seg binary")
     segs = scratch.save(cut, "segs")
-    narrow = segs.mapInPandas(_narrow_groups, f"{_KEY}, p long, j int, m int, a long, b long, every long, shared long")
-    narrow_hit = scratch.save(_settled(narrow, keep), "narrowhit")
-    marks.append(narrow_hit.where("hit").select("k1", "k2", "a", "b"))
-    parts = _to_cut(narrow_hit, keep).groupBy("k1", "k2", "p", "j").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("m"))).cast("int").alias("parts"))
-    single = segs.join(parts, ["k1", "k2", "p", "j"]).mapInPandas(_single, f"{_KEY}, a long, b long, every long")
-    marks.append(_settled(single, keep).where("hit").select("k1", "k2", "a", "b"))
+    narrow = scratch.save(segs.mapInPandas(_narrow_groups, f"{_KEY}, p long, j int, m int, a long, b long, every long, shared long"), "narrow")
+    narrow_hit = _settled(narrow, keep, scratch, "narrow")
+    parts = _to_cut(narrow_hit, keep, scratch, "narrow").groupBy("k1", "k2", "p", "j").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("m"))).cast("int").alias("parts"))
+    single = scratch.save(segs.join(parts, ["k1", "k2", "p", "j"]).mapInPandas(_single, f"{_KEY}, a long, b long, every long"), "single")
+    single_hit = _settled(single, keep, scratch, "single")
+    scratch.drop("segs")
+    marks = [own, *(g.where("hit").select("k1", "k2", "a", "b") for g in (wide_hit, narrow_hit, single_hit))]
     out = marks[0]
     for m in marks[1:]:
         out = out.unionByName(m)
