@@ -2,12 +2,11 @@
 
 import zlib
 
-import numpy as np
 import public_tokenizers
 import sentencepiece
 
 import corpus_pipeline
-from textloom.llm import mixing, quality
+from textloom.llm import mixing
 
 from . import test_decontaminate, test_mixing, test_quality, test_simhash, test_token_files
 from .common import documents

@@ -7,7 +7,6 @@ import re
 import tempfile
 import uuid
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,6 +96,3 @@ def file_system(uri: str):
         uri = "file://" + uri[5:]
     return fs.FileSystem.from_uri(uri)
 
-
-def as_strings(column: pa.Array) -> list[str | None]:
-    return column.to_pylist()
