@@ -2,7 +2,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from textloom.sources import files, sinks
 
