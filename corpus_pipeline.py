@@ -1,4 +1,4 @@
-"""A corpus pipeline of five stages over ``documents``: quality rules, SimHash near-dedup, benchmark decontamination, mixing, token files.
+"""A corpus pipeline of five stages over ``documents``: quality rules, near-dedup, benchmark decontamination, mixing, token files.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next one's docs.
 All but the last return the columns of documents, whatever they are named; an empty table stays empty through all stages.
@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontaminate, mixing, quality, simhash, token_files
+from textloom.llm import decontaminate, mixing, near_copies, quality, token_files
 from textloom.llm._util import Scratch, read_table, small_batches
 
 
@@ -22,9 +22,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-copies stays: that of the smallest id (null last), of equal ids that of the smallest hash of
-    its text. Null and empty texts are one group; rows equal in id and text are copies."""
-    return simhash.keep_one(docs)
+    """One document of each group of near-copies stays (sets of five-word shingles alike to 0.8 or more, and what these link): that of
+    the smallest id (null last), of equal ids that of the smallest hash of its text. Null and empty texts are one group; rows equal in
+    id and text are copies."""
+    return near_copies.keep_one(docs)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -220,7 +220,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     groups = simhash_groups(fps.select("fp"), scratch)
     firsts = groups.join(fps, "fp").groupBy("root").agg(F.min("least").alias("least"))
     alone = fps.join(groups, "fp", "left_anti").select("least")
-    stay = scratch.save(alone.unionByName(firsts.select("least")).select(F.col("least.id").alias("__stay_id"), F.col("least.th").alias("__stay_th")), "stay")
+    return staying(docs, alone.unionByName(firsts.select("least")), scratch, id_col, text_col)
+
+
+def staying(docs: DataFrame, firsts: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs that ``firsts(least struct(id, th))`` names by id and hash of text."""
+    stay = scratch.save(firsts.select(F.col("least.id").alias("__stay_id"), F.col("least.th").alias("__stay_th")), "stay")
     kept = docs.join(stay, F.col(id_col).eqNullSafe(F.col("__stay_id")) & (F.xxhash64(text_col) == F.col("__stay_th")), "left_semi")
     # Rows equal in id and text are copies too.
     return kept.withColumn("__stay_hash", F.xxhash64(text_col)).dropDuplicates([id_col, "__stay_hash"]).drop("__stay_hash")
