@@ -62,6 +62,16 @@ def test_clean_text_is_kept_and_junk_is_not(spark):
     assert clean
 
 
+def test_most_labelled_junk_and_random_letters_are_rejected(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality = 0"), "doc_id")
+    bad = [r.kept for r in quality.quality_table(df, RULES).where("not base_failed").collect()]
+    assert sum(bad) < 0.12 * len(bad) and len(bad) > 200
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(n)) for n in (300, 600, 2000)]
+    rows = [(k, t, lang, "s") for k, t in enumerate(texts) for lang in ("en", "de", "fr", "es")]
+    assert not any(r.kept for r in quality.quality_table(documents(spark, rows), RULES).collect())
+
+
 def test_repeat_words_by_hand():
     rng = random.Random(4)
     import numpy as np
