@@ -50,6 +50,18 @@ def test_pages_by_hand(main, want):
     assert hx.main_text(PAGE.format(main=main)) == want
 
 
+@pytest.mark.parametrize(
+    "hidden",
+    [
+        "<svg><path d='M0'/></svg>", "<svg><g><path d='M0'/><circle r='1'/></g></svg>", "<svg><g><path d='M0'></svg>", "<svg><title>icon</title><use href='#a'/></svg>", "<math><mi>x<mo/></math>",
+        "<select><option>A<option>B</select>", "<datalist><option>A<option>B</datalist>", "<button><div>More</button>", "<object><param name='a'><p>No plugin</object>",
+    ],
+)
+def test_text_after_hidden_elements_stays(hidden):
+    for page in (f"<article>{hidden}<p>first part of it</p>{hidden}<p>second {hidden} part</p></article>", f"<body>{hidden}<p>first part of it</p><p>second {hidden} part</p></body>"):
+        assert hx.main_text(page) == "first part of it second part", page
+
+
 @pytest.mark.parametrize("page", [None, "", " \n ", "<", "<p", "<!--", "<p><b>", "</p></div>", "<![CDATA[x", "&#xZZ;", "<script>never ends", "<a href='", "\x00", "<p>" * 3000])
 def test_nothing_fails(page):
     assert isinstance(hx.main_text(page), str)

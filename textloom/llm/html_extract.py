@@ -29,6 +29,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input".split())
 #: Their text is never shown, or no text of a page.
 HIDDEN = frozenset("script style noscript template svg math iframe object canvas audio video title select option button textarea datalist".split())
+#: In them a tag may close itself.
+FOREIGN = frozenset("svg math".split())
 NO_CONTENT = frozenset("nav header footer aside form menu dialog".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 #: Words of class or id that name what is no content.
@@ -130,8 +132,11 @@ class Lines(HTMLParser):
                 return
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        foreign = self.mute and any(self.tag[e] in FOREIGN for e in self.stack)
         self.handle_starttag(tag, attrs)
-        if tag in HIDDEN:
+        if foreign and tag not in VOID and self.tag[self.stack[-1]] == tag:
+            self._cut(len(self.stack) - 1)
+        elif tag in HIDDEN:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
@@ -144,7 +149,7 @@ class Lines(HTMLParser):
             if t == tag:
                 self._cut(k)
                 return
-            if inline and t not in INLINE:
+            if inline and t not in INLINE and not (tag in HIDDEN and self.mute):
                 return
 
     def handle_data(self, data: str) -> None:
