@@ -104,3 +104,16 @@ def test_damage_is_noticed():
     assert bad.read(1) == np.arange(51, dtype="<u4").tobytes()
     with pytest.raises(Exception):
         bad.read(3)
+
+
+def test_large_ids_are_exact(spark):
+    """Odd ids above 2^53 are no floats; nulls in a batch must not make them such."""
+    big = (1 << 53) + 1
+    rows = [(big, "one"), (big + 2, "two"), (None, "three")]
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)  # all in one batch
+    try:
+        out = tf.token_table(documents(spark, rows), tf.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+    assert sorted((r.doc_id for r in out), key=str) == sorted([big, big + 2, None], key=str)

@@ -80,3 +80,19 @@ def test_damage_is_noticed():
     data[len(data) // 2] ^= 0xFF
     with pytest.raises(Exception):
         warc.parse(bytes(data))
+
+
+def test_large_ids_are_exact(spark, tmp_path):
+    """Odd ids above 2^53 are no floats; nulls in a batch must not make them such."""
+    from textloom.llm._util import Scratch
+
+    big, text = (1 << 53) + 1, "<p>" + "x" * 200
+    rows = [(big, "u", text), (big + 2, "u", text), (big + 4, "u", "short"), (None, "u", text)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    index = warc.write_archives(df, f"file://{tmp_path}", Scratch(spark, "t"))
+    want = sorted([(big, None), (big + 2, big), (big + 4, None), (None, big)], key=repr)
+    assert sorted(((r.page_id, r.refers_to) for r in index.collect()), key=repr) == want
+    assert sorted(((r.page_id, r.refers_to) for r in warc.read_records(index, f"file://{tmp_path}").collect()), key=repr) == want
+    r = index.where("record_type = 'revisit' and page_id is not null").first()
+    data = open(r.archive.removeprefix("file://"), "rb").read()[r.offset : r.offset + r.length]
+    assert warc.parse(data)[0]["warc-refers-to"] == warc.record_id(big, r.digest)

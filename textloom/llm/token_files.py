@@ -261,6 +261,7 @@ def write_tokens(docs: DataFrame, vocabulary: Vocabulary, folder: str, scratch:
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     rows = rows.repartitionByRange("id", F.xxhash64("t")).sortWithinPartitions("id", F.xxhash64("t"))
+    rows = rows.select(F.col("id").cast("string").alias("id"), "t")  # longs with nulls would become floats in Python, which round
     return scratch.save(rows.mapInPandas(run, "part int, path string, n_docs long, n_ids long, first long, last long"), "manifest")
 
 

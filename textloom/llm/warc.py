@@ -108,12 +108,13 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch, id_col: str
                 out.write(data)
                 rows.append((i, path, at, len(data), url, digest, "response" if ref is None else "revisit", ref))
                 at += len(data)
-            yield pd.DataFrame(rows, columns=[x.split(" ")[0] for x in INDEX.split(", ")]).astype({"page_id": "Int64", "refers_to": "Int64"})
+            yield pd.DataFrame(rows, columns=[x.split(" ")[0] for x in INDEX.split(", ")], dtype=object).astype({"page_id": "Int64", "offset": "int64", "length": "int64", "refers_to": "Int64"})
         if out is not None:
             out.close()
 
-    # A revisit carries no payload, so Python does not get it.
-    rows = referred(pages, id_col, url_col, html_col).select("i", "u", F.when(F.col("ref").isNull(), F.col("h")).alias("h"), "d", "n", "ref")
+    # A revisit carries no payload, so Python does not get it. Ids go as strings: longs with nulls would become floats, which round.
+    payload = F.when(F.col("ref").isNull(), F.col("h")).alias("h")
+    rows = referred(pages, id_col, url_col, html_col).select(F.col("i").cast("string").alias("i"), "u", payload, "d", "n", F.col("ref").cast("string").alias("ref"))
     return scratch.save(rows.mapInPandas(run, INDEX), "index")
 
 
@@ -157,7 +158,7 @@ def read_records(selected: DataFrame, folder: str) -> DataFrame:
                         digest = re.sub("^sha256:", "", h["warc-payload-digest"])
                         full = h["warc-type"] == "response"
                         rows.append((None if i is None else int(i), h["warc-type"], None if ref is None else int(ref), len(payload) if full else int(h["x-payload-length"]), digest, payload if full else None))
-                    yield pd.DataFrame(rows, columns=["page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]).astype({"page_id": "Int64", "refers_to": "Int64"})
+                    yield pd.DataFrame(rows, columns=["page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"], dtype=object).astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "int64"})
 
     where = selected.select("archive", "offset", "length", F.floor(F.col("offset") / MOST).alias("stretch"))
     where = where.repartition("archive", "stretch").sortWithinPartitions("archive", "offset")
