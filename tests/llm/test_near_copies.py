@@ -59,23 +59,27 @@ def test_crowds(spark, monkeypatch):
     rows = [(k, " ".join(f"v{rng.randrange(10**6)}" if rng.random() < 0.02 else w for w in base)) for k in range(120)]
     want = plain_kept(rows)
     assert 5 < len(want) < 100
-    for cell, tile in ((near_copies.CELL, near_copies.TILE), (50, 16)):
+    for cell, tile in ((near_copies.CELL, near_copies.TILE), (20, 16)):  # cells of 20 are cut, so the second round has work
         monkeypatch.setattr(near_copies, "CELL", cell)
         monkeypatch.setattr(near_copies, "TILE", tile)
         assert sorted(r.doc_id for r in near_copies.keep_one(documents(spark, rows)).collect()) == want
 
 
-def test_cell_pairs():
-    name, fp = np.arange(5), np.array([0, 1, 3, 7, (1 << 64) - 1], dtype=np.uint64)
-    assert len(near_copies.cell_pairs(name, name, fp, [], 0)) == 3
-    assert near_copies.cell_pairs(name, np.array([0, 0, 2, 2, 4]), fp, [(2, 0), (0, 3), (1, 2)], 99) == [(1, 3)]
-    assert near_copies.cell_pairs(name, np.array([0, 0, 2, 2, 4]), fp, [(2, 0), (0, 3), (1, 2), (3, 1)], 99) == []
+def test_cell_links():
+    base = np.arange(100, dtype=np.int64)
+    sets = [base, base[:95], base[10:], base + 1000, np.concatenate([base[:60], base[:40] + 500])]
+    name, fp = np.arange(5), np.zeros(5, dtype=np.uint64)
+    forest = {tuple(sorted(e)) for e in near_copies.cell_links(name, name, fp, sets)}
+    assert forest == {(0, 1), (0, 2)}
+    assert near_copies.cell_links(name, np.array([0, 0, 0, 3, 4]), fp, sets) == []
+    far = np.array([0, (1 << 64) - 1, 0, 0, 0], dtype=np.uint64)  # beyond the radius nothing is compared
+    assert {tuple(sorted(e)) for e in near_copies.cell_links(name, name, far, sets)} == {(0, 2)}
 
 
 def test_edges(spark):
     a = " ".join(f"wort{i}" for i in range(200))
     rows = [((1 << 60) + 1, a), ((1 << 60) + 2, a.upper() + " "), (3, "one"), (3, "one"), (7, None), (8, ""), (9, " \n"), (None, "two"), (None, "two"), (10, "x " * 100_000)]
-    df = clashing(documents(spark, rows), "id", "th", "t", "name", "fp", "keys", "least", "root", "cell")
+    df = clashing(documents(spark, rows), "id", "th", "t", "name", "fp", "keys", "least", "root", "cell", "node", "n", "h")
     kept = near_copies.keep_one(df)
     assert kept.columns == df.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([(1 << 60) + 1, 3, 7, None, 10], key=str)

@@ -8,7 +8,7 @@ import sentencepiece
 import corpus_pipeline
 from textloom.llm import mixing
 
-from . import test_decontaminate, test_mixing, test_quality, test_simhash, test_token_files
+from . import test_decontaminate, test_mixing, test_near_copies, test_quality, test_token_files
 from .common import documents
 
 SF = "/root/testdata/sf0.001"
@@ -18,8 +18,8 @@ def by_hand(spark, docs, items):
     """docs: rows of documents; returns (doc_id, start, n_tokens, ids_crc32) of the mix."""
     model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     docs = [d for d in docs if test_quality.plain(d.text, d.lang, model)[-1]]
-    comp = test_simhash.plain_components([test_simhash.plain_fingerprint(d.text) for d in docs], [d.doc_id for d in docs])
-    docs = [d for d, c in zip(docs, comp) if d.doc_id == c]
+    stay = set(test_near_copies.plain_kept([(d.doc_id, d.text) for d in docs]))
+    docs = [d for d in docs if d.doc_id in stay]
     docs = [d for d in docs if not test_decontaminate.plain(d.text, items)]
     size = {d.doc_id: len(d.text.encode().split()) for d in docs}
     per = {}

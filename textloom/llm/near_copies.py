@@ -1,13 +1,17 @@
-"""Near-copies by similarity: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, grouped by reachability.
+"""Operator 7 by similarity: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, grouped by reachability.
 
 Documents of equal sets are one row from the start. Sets meet in cells: 32 bands of 5 minhashes, which a pair of similarity 0.8
-misses three times in a million (1 - 0.8^5)^32. Within a cell SimHashes of the shingles leave out pairs beyond 23 bits (a pair of
-similarity 0.8 lies 10 apart in the mean), and what remains is verified by the exact similarity of the sets. First a spanning forest of each
-cell's pairs is verified; then, in rounds, the pairs between groups that are still apart, eight times as many a round, until every pair
-of a cell is verified, refuted or within one group. So a large group costs about as many comparisons of sets as it has members.
+misses three times in a million (1 - 0.8^5)^32. The sets themselves travel to the cells, each once a cell, so nothing is ever
+written per pair: a cell is compared in tiles by exclusive-or and bit counts of SimHashes (tiles whose bit counts differ beyond the
+radius are skipped; 23 bits, where a pair of similarity 0.8 lies 10 apart in the mean), and what is near and not yet in one group is verified
+by the exact similarity of the two sets. A cell gives a spanning forest of its verified links.
 
-Words are lower-cased. Defined results: a text of fewer than five words is one shingle; null and empty texts have the empty set and are
-one group; an empty table gives an empty result. Equality of shingles rests on 64-bit hashes.
+A cell too large for a task is first cut into tiles by hash, each compared by itself; bands cut the same group in other places, so
+alike sets join nearly at once. Then only members outside a cell's largest group are held against all of it, tile by tile, so
+that every pair of a cell is verified, refuted or within one group; a group of n alike sets costs n comparisons, not their square.
+
+Words are lower-cased (A-Z). Defined results: a text of fewer than five words is one shingle; null and empty texts have the empty set
+and are one group; an empty table gives an empty result. Equality of shingles rests on 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -16,22 +20,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import Scratch, small_batches, words
+from ._util import Scratch
 from .components import connected
-from .simhash import CELL, TILE, _Forest, majority, shingle_hashes, staying
+from .simhash import SEED, TILE, _Forest, keep_first, majority
 
 WIDTH, THRESHOLD, BANDS, ROWS, RADIUS = 5, 0.8, 32, 5, 23
+#: What one task compares at once: sets, and shingles in them. Larger cells are cut.
+CELL, SHINGLES = 2_048, 4_000_000
 _DRAW = np.random.default_rng(42)
-_MULTIPLY = _DRAW.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_MIX = _DRAW.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64)
+_MULTIPLY = (_DRAW.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
+_MIX = _DRAW.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)[:, None]
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted hashes of the distinct shingles."""
-    return np.unique(shingle_hashes(words(text.encode("utf-8", "replace").lower().decode("utf-8") if text else None), WIDTH))
+class _Words(dict):
+    """Hashes of words already met."""
+
+    def __missing__(self, w: bytes) -> int:
+        if len(self) >= 400_000:
+            self.clear()
+        h = self[w] = xxhash.xxh64_intdigest(w, SEED)
+        return h
+
+
+_words = _Words()
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -39,16 +55,33 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def shingle_set(text: str | None) -> np.ndarray:
+    """Sorted hashes of the distinct shingles."""
+    ws = (text or "").encode("utf-8", "replace").lower().split()
+    if not ws:
+        return np.empty(0, dtype=np.uint64)
+    a = np.fromiter(map(_words.__getitem__, ws), dtype=np.uint64, count=len(ws))
+    width = min(WIDTH, len(ws))
+    n = len(ws) - width + 1
+    h = np.full(n, width, dtype=np.uint64)
+    for k in range(width):
+        h = _mixed(h * _STEP + a[k : k + n])
+    return np.unique(h)
+
+
 def band_keys(h: np.ndarray) -> np.ndarray:
     """A key for each band of minhashes of a set; none of the empty set."""
     if not len(h):
         return np.empty(0, dtype=np.uint64)
-    least = np.full(BANDS * ROWS, (1 << 64) - 1, dtype=np.uint64)
-    for k in range(0, len(h), 2048):
-        least = np.minimum(least, ((h[k : k + 2048][None, :] ^ _MIX[:, None]) * _MULTIPLY[:, None]).min(axis=1))
+    x = (h >> np.uint64(32)).astype(np.uint32)
+    least = np.full(BANDS * ROWS, (1 << 32) - 1, dtype=np.uint32)
+    for k in range(0, len(x), 2048):
+        y = x[None, k : k + 2048] ^ _MIX
+        y *= _MULTIPLY
+        np.minimum(least, y.min(axis=1), out=least)
     key = np.arange(BANDS, dtype=np.uint64)
     for row in least.reshape(BANDS, ROWS).T:
-        key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + row)
+        key = _mixed(key * _STEP + row)
     return key
 
 
@@ -57,143 +90,147 @@ def set_name(h: np.ndarray) -> int:
     return int(_mixed(np.array([_mixed(h).sum(dtype=np.uint64) + np.uint64(len(h))], dtype=np.uint64))[0]) if len(h) else 0
 
 
-def cell_pairs(name: np.ndarray, root: np.ndarray, fp: np.ndarray, refuted: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
-    """Pairs of a cell to verify: within the radius, of two groups, not refuted. A spanning forest if ``most`` is 0, else up to ``most``."""
-    n, out = len(name), []
+def cell_links(name: np.ndarray, root: np.ndarray, fp: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """A spanning forest of the verified links between members of unequal roots."""
     label = np.unique(root, return_inverse=True)[1]
     if not label.any():
-        return out
-    at = {int(x): k for k, x in enumerate(name)} if refuted else {}
-    no = np.array([sorted((at[u], at[v])) for u, v in refuted], dtype=np.int64).reshape(-1, 2)
-    forest = _Forest(int(label.max()) + 1)
-    now = label
-    for i in range(0, n, TILE):
-        for j in range(i, n, TILE):
-            near = np.bitwise_count(fp[i : i + TILE, None] ^ fp[None, j : j + TILE]) <= RADIUS
-            here = no[(no[:, 0] // TILE == i // TILE) & (no[:, 1] // TILE == j // TILE)]
-            near[here[:, 0] - i, here[:, 1] - j] = False
+        return []
+    count = np.bitwise_count(fp).astype(np.int64)
+    order = np.argsort(count, kind="stable")
+    name, fp, count, label = name[order], fp[order], count[order], label[order]
+    sets = [sets[k] for k in order.tolist()]
+    size = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    start = np.cumsum(size) - size
+    held, ids = np.unique(np.concatenate(sets), return_inverse=True)  # shingles as numbers of the cell
+    mine = np.zeros(len(held), dtype=bool)
+    forest, edges = _Forest(int(label.max()) + 1), []
+    for i in range(0, len(fp), TILE):
+        a = slice(i, min(i + TILE, len(fp)))
+        for j in range(i, len(fp), TILE):
+            b = slice(j, min(j + TILE, len(fp)))
+            if count[b.start] - count[a.stop - 1] > RADIUS:
+                break
+            near = np.bitwise_count(fp[a][:, None] ^ fp[b][None, :]) <= RADIUS
+            near &= np.minimum(size[a][:, None], size[b][None, :]) >= THRESHOLD * np.maximum(size[a][:, None], size[b][None, :])
+            near &= label[a][:, None] != label[b][None, :]
             if i == j:
                 near = np.triu(near, 1)
-            while True:
-                apart = near & (now[i : i + TILE, None] != now[None, j : j + TILE])
-                rows = np.flatnonzero(apart.any(axis=1))
-                if not len(rows):
-                    break
-                if most:
-                    a, b = (x[: most - len(out)] for x in np.nonzero(apart))
-                    out += list(zip(name[a + i].tolist(), name[b + j].tolist(), strict=True))
-                    break
-                for r, c in zip((rows + i).tolist(), (apart[rows].argmax(axis=1) + j).tolist(), strict=True):
-                    if forest.join(int(label[r]), int(label[c])):
-                        out.append((int(name[r]), int(name[c])))
-                now = np.array([forest.find(k) for k in range(len(forest.up))])[label]
-            if most and len(out) >= most:
-                return out
-    return out
-
-
-def _compare(batches: Iterator[pd.DataFrame], factor: int) -> Iterator[pd.DataFrame]:
-    """Rows of whole cells, in order; a row with ``other`` is a refuted pair of its cell."""
-    names = ["cell", "name", "root", "fp", "other"]
-    held: list[np.ndarray] = [np.empty(0, dtype=np.int64) for _ in names]
-
-    def frame(c: list[np.ndarray]) -> pd.DataFrame:
-        starts = np.flatnonzero(np.concatenate([[True], c[0][1:] != c[0][:-1]]))
-        out = []
-        for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(c[0])], strict=True):
-            cell, name, root, fp, other = (x[s:e] for x in c)
-            pair = other != name  # a member has itself there
-            members = ~pair
-            gone = list(zip(name[pair].tolist(), other[pair].tolist(), strict=True))
-            found = cell_pairs(name[members], root[members], fp[members].view(np.uint64), gone, factor * int(members.sum()))
-            out += [(int(cell[0]), min(p), max(p)) for p in found]
-        return pd.DataFrame(out, columns=["cell", "u", "v"]).astype("int64")
-
+            for r in np.flatnonzero(near.any(axis=1)).tolist():
+                p = i + r
+                q = np.flatnonzero(near[r] & (label[b] != label[p])) + j
+                if not len(q):
+                    continue
+                mine[ids[start[p] : start[p] + size[p]]] = True
+                ends = np.cumsum(size[q])
+                both = np.add.reduceat(mine[np.concatenate([ids[start[k] : start[k] + size[k]] for k in q.tolist()])], ends - size[q], dtype=np.int64)
+                mine[ids[start[p] : start[p] + size[p]]] = False
+                for k in q[both >= THRESHOLD * (size[p] + size[q] - both)].tolist():
+                    if forest.join(int(label[p]), int(label[k])):
+                        edges.append((int(name[p]), int(name[k])))
+                        x, y = label[p], label[k]
+                        label[label == max(x, y)] = min(x, y)
+    return edges
+
+
+def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of whole cells, in order."""
+
+    def frame(b: pd.DataFrame) -> pd.DataFrame:
+        cell = b["cell"].to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+        name, root, fp, h = b["name"].to_numpy(), b["root"].to_numpy(), b["fp"].to_numpy().view(np.uint64), b["h"].tolist()
+        out = [e for s, z in zip(starts.tolist(), [*starts[1:].tolist(), len(cell)], strict=True) for e in cell_links(name[s:z], root[s:z], fp[s:z], h[s:z])]
+        return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
+
+    held: list[pd.DataFrame] = []  # the last cell may go on in the next batch
     for b in batches:
-        held = [np.concatenate([h, b[x].to_numpy()]) for h, x in zip(held, names, strict=True)]
-        if not len(held[0]):
+        if not len(b):
             continue
-        cut = int(np.searchsorted(held[0], held[0][-1]))  # the last cell may go on in the next batch
-        if cut:
-            yield frame([h[:cut] for h in held])
-        held = [h[cut:] for h in held]
-    if len(held[0]):
-        yield frame(held)
-
-
-def _cells(sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """(cell, name, fp) of cells of two sets or more. Bands with the same members are one cell; a large cell is cut into pairs of its tiles."""
-    rows = sets.select("name", "fp", F.explode("keys").alias("key"))
-    mark = F.xxhash64("name")
-    counts = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("name").alias("a"), F.max("name").alias("b"), F.sum(mark.cast("decimal(20,0)")).alias("s")).where("n > 1")
-    one = scratch.save(counts.groupBy("n", "a", "b", "s").agg(F.min("key").alias("key")).select("key", "n"), "met")
-    sub = F.ceil(F.col("n") / F.lit(CELL)).cast("int")
-    mine = F.pmod(F.xxhash64("name"), F.col("sub")).cast("int")
-    cut = rows.join(one, "key").withColumn("sub", sub).withColumn("t", mine).withColumn("t2", F.explode(F.sequence(F.lit(0), F.col("sub") - 1)))
-    return scratch.save(cut.select(F.xxhash64("key", F.least("t", "t2"), F.greatest("t", "t2")).alias("cell"), "name", "fp"), "cells")
-
-
-def near_groups(sets: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """(fp, root) of names of sets that are linked to others, given ``sets(name, fp, keys)`` and ``texts(name, t)`` with a text of each."""
-    spark = sets.sparkSession
-    cells = _cells(sets, scratch)
-    wanted = scratch.save(cells.select("name").distinct(), "wanted")
-
-    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"name": b["name"], "h": [shingle_set(t).view(np.int64) for t in b["t"]]})
-
-    held = texts.join(wanted, "name", "left_semi").mapInPandas(hashes, "name long, h array<long>")
-    held = scratch.save(held.groupBy("name").agg(F.first("h").alias("h")), "sets")
-    both = F.size(F.array_intersect("a", "b"))
-    similar = both / (F.size("a") + F.size("b") - both) >= THRESHOLD
-    links, refuted, groups = None, None, None
-    empty = spark.createDataFrame([], "fp long, root long")
-    k = 0
-    while True:
-        roots = groups if groups is not None else empty
-        members = cells.join(roots.select(F.col("fp").alias("name"), "root"), "name", "left").select("cell", "name", F.coalesce("root", "name").alias("root"), "fp", F.col("name").alias("other"))
-        rows = members if refuted is None else members.unionByName(refuted.select("cell", F.col("u").alias("name"), F.col("u").alias("root"), F.lit(0).cast("long").alias("fp"), F.col("v").alias("other")))
-        factor = 8**k if k else 0
-        pairs = rows.repartition("cell").sortWithinPartitions("cell").mapInPandas(lambda it, f=factor: _compare(it, f), "cell long, u long, v long")
-        pairs = scratch.save(pairs, f"pairs{k}")
-        if pairs.isEmpty():
-            return roots
-        a, b = held.select(F.col("name").alias("u"), F.col("h").alias("a")), held.select(F.col("name").alias("v"), F.col("h").alias("b"))
-        judged = pairs.select("u", "v").distinct().join(a, "u").join(b, "v").select("u", "v", similar.alias("yes"))
-        judged = scratch.save(judged, f"judged{k}")
-        yes = judged.where("yes").select("u", "v")
-        no = scratch.save(pairs.join(judged.where("not yes").select("u", "v"), ["u", "v"], "left_semi").select("cell", "u", "v"), f"refuted{k}")
-        refuted = no if refuted is None else refuted.unionByName(no)
-        if not yes.isEmpty():
-            links = yes if links is None else links.unionByName(yes)
-            groups = scratch.save(connected(links, scratch), f"groups{k}")
-        k += 1
+        cell = b["cell"].to_numpy()
+        cut = int(np.searchsorted(cell, cell[-1]))
+        if cut or (held and held[0]["cell"].iloc[0] != cell[0]):
+            yield frame(pd.concat([*held, b.iloc[:cut]], ignore_index=True))
+            held = []
+        held.append(b.iloc[cut:])
+    if held:
+        yield frame(pd.concat(held, ignore_index=True))
+
+
+def _pieces(n: Column, shingles: Column) -> Column:
+    """Into how many tiles so many sets with so many shingles are cut."""
+    return F.greatest(F.ceil(n / F.lit(CELL)), F.ceil(shingles / F.lit(SHINGLES)), F.lit(1)).cast("int")
+
+
+def _links(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """(u, v) from rows(cell, name, root, fp) and held(name, h)."""
+    full = rows.join(held, "name").select("cell", "name", "root", "fp", "h")
+    return full.repartition("cell").sortWithinPartitions("cell").mapInPandas(_compare, "u long, v long").distinct()
+
+
+def _met(sets: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(name, fp, n, key) of sets that share a band with another, and (key, sub) of those bands; bands with the same members are one."""
+    rows = sets.select("name", "fp", "n", F.explode("keys").alias("key"))
+    mark = F.sum(F.xxhash64("name").cast("decimal(20,0)")).alias("s")
+    counts = rows.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("w"), F.min("name").alias("a"), F.max("name").alias("b"), mark).where("c > 1")
+    bands = counts.groupBy("c", "w", "a", "b", "s").agg(F.min("key").alias("key")).select("key", _pieces(F.col("c"), F.col("w")).alias("sub"))
+    bands = scratch.save(bands, "bands")
+    return scratch.save(rows.join(bands, "key"), "met"), bands
+
+
+def _rest(met: DataFrame, groups: DataFrame) -> DataFrame:
+    """rows(cell, name, root, fp) of cut cells that hold several groups: members outside the largest group against each other and against it."""
+    of = groups.select(F.col("fp").alias("name"), "root")
+    rows = met.where("sub > 1").join(of, "name", "left").withColumn("root", F.coalesce("root", "name"))
+    per = rows.groupBy("key", "root").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
+    cells = per.groupBy("key").agg(F.max(F.struct("c", "w", "root")).alias("x"), F.sum("c").alias("c"), F.sum("w").alias("w")).where(F.col("c") > F.col("x.c"))
+    few = _pieces(F.col("c") - F.col("x.c"), F.col("w") - F.col("x.w"))
+    cells = cells.select("key", F.col("x.root").alias("main"), _pieces(F.col("x.c"), F.col("x.w")).alias("many"), few.alias("few"))
+    both = rows.join(cells, "key").withColumn("in", F.col("root") == F.col("main"))
+    both = both.withColumn("t", F.pmod(F.xxhash64("name", "key"), F.when(F.col("in"), F.col("many")).otherwise(F.col("few"))).cast("int"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    unit = lambda kind, a, b: F.struct(F.lit(kind).alias("k"), a.alias("a"), b.alias("b"))
+    units = F.when(F.col("in"), F.transform(upto("few"), lambda x: unit(0, F.col("t"), x))).otherwise(
+        F.concat(F.transform(upto("many"), lambda x: unit(0, x, F.col("t"))), F.transform(upto("few"), lambda x: unit(1, F.least(F.col("t"), x), F.greatest(F.col("t"), x))))
+    )
+    return both.select("key", "name", "root", "fp", F.explode(units).alias("u")).select(F.xxhash64("key", "u.k", "u.a", "u.b").alias("cell"), "name", "root", "fp")
+
+
+def near_groups(met: DataFrame, bands: DataFrame, held: DataFrame, scratch: Scratch) -> DataFrame:
+    """(fp, root) of names of sets that are linked to others."""
+    tile = F.pmod(F.xxhash64("name", "key"), F.col("sub")).cast("int")
+    links = scratch.save(_links(met.select(F.xxhash64("key", tile).alias("cell"), "name", F.col("name").alias("root"), "fp"), held), "links")
+    groups = scratch.save(connected(links, scratch), "groups")
+    if bands.where("sub > 1").isEmpty():
+        return groups
+    more = scratch.save(_links(_rest(met, groups), held), "more")
+    return scratch.save(connected(links.unionByName(more), scratch), "all")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, without near-copies: of each group the row with the smallest id (null last), then hash of its text, stays."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    scratch = Scratch(spark, "nearcopies")
+    scratch = Scratch(docs.sparkSession, "nearcopies")
 
     def sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(set_name(h), majority(h) if len(h) else 0, len(h), band_keys(h).view(np.int64)) for h in map(shingle_set, b["t"])]
+            name, fp = (np.array([r[k] for r in rows], dtype=np.uint64).view(np.int64) for k in (0, 1))
+            yield pd.DataFrame({"id": b["id"].array, "th": b["th"], "name": name, "fp": fp, "n": [r[2] for r in rows], "keys": [r[3] for r in rows]})
+
+    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             h = [shingle_set(t) for t in b["t"]]
-            name, fp = (np.array(x, dtype=np.uint64).view(np.int64) for x in ([set_name(x) for x in h], [majority(x) if len(x) else 0 for x in h]))
-            yield pd.DataFrame({"id": b["id"].array, "th": b["th"], "name": name, "fp": fp, "keys": [band_keys(x).view(np.int64) for x in h]})
+            yield pd.DataFrame({"name": np.array([set_name(x) for x in h], dtype=np.uint64).view(np.int64), "h": [x.view(np.int64) for x in h]})
 
     src = docs.select(F.col(id_col).cast("string").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("t"))
-    mine = src.mapInPandas(sketches, "id string, th long, name long, fp long, keys array<long>")
-    mine = mine.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType))
-    mine = scratch.save(mine, "sketches")
-    least = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "th")).alias("least")
-    names = scratch.save(mine.groupBy("name").agg(least), "names")
-    sets = scratch.save(mine.groupBy("name").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys")), "distinct")
+    mine = src.mapInPandas(sketches, "id string, th long, name long, fp long, n long, keys array<long>")
+    mine = scratch.save(mine.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType)), "sketches")
+    sets = mine.groupBy("name").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    met, bands = _met(sets, scratch)
+    # One text of each set that meets another is read again for its shingles; all others travel no further than their sketch.
+    one = mine.join(met.select("name").distinct(), "name").groupBy("name").agg(F.min(F.struct("id", "th")).alias("x"))
+    one = scratch.save(one.select(F.col("x.id").alias("i2"), F.col("x.th").alias("th2")), "wanted")
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("t"))
-    first = names.select("name", F.col("least.id").alias("i2"), F.col("least.th").alias("th2"))
-    met = texts.join(first, F.col("id").eqNullSafe(F.col("i2")) & (F.col("th") == F.col("th2"))).select("name", "t")
-    groups = near_groups(sets, met, scratch)
-    firsts = groups.select(F.col("fp").alias("name"), "root").join(names, "name").groupBy("root").agg(F.min("least").alias("least")).select("least")
-    alone = names.join(groups.select(F.col("fp").alias("name")), "name", "left_anti").select("least")
-    return staying(docs, alone.unionByName(firsts), scratch, id_col, text_col)
+    texts = texts.join(one, F.col("id").eqNullSafe(F.col("i2")) & (F.col("th") == F.col("th2")), "left_semi").select("t")
+    held = texts.mapInPandas(hashes, "name long, h array<long>").groupBy("name").agg(F.first("h").alias("h"))
+    groups = near_groups(met, bands, scratch.save(held, "sets"), scratch)
+    return keep_first(docs, mine.select("id", "th", F.col("name").alias("node")), groups.select(F.col("fp").alias("node"), "root"), scratch, id_col, text_col)

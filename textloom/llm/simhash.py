@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import Scratch, small_batches, words
+from ._util import Scratch
 from .components import connected
 
 BLOCKS, RADIUS, SEED = 5, 3, 42
@@ -61,7 +61,7 @@ def majority(h: np.ndarray) -> int:
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
-    ws = words(text.encode("utf-8", "replace").lower().decode("utf-8") if text else None)
+    ws = (text or "").encode("utf-8", "replace").lower().split()
     return majority(shingle_hashes(ws, width)) if ws else 0
 
 
@@ -198,7 +198,6 @@ def simhash_groups(fps: DataFrame, scratch: Scratch) -> DataFrame:
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """One row per document: id, ``fingerprint`` (16 lowercase hex digits), ``component_id`` (smallest id reachable)."""
     spark = docs.sparkSession
-    small_batches(spark)
     scratch = Scratch(spark, "simhash")
     mine = scratch.save(docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), width).alias("fp")), "fingerprints")
     fps = scratch.save(mine.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
@@ -211,21 +210,31 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """The documents, all columns, without near-copies: of each group the row with the smallest id (null last), then hash of its text, stays."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    scratch = Scratch(spark, "keepone")
+    scratch = Scratch(docs.sparkSession, "keepone")
     # The fingerprint reads the text once; ids and hashes stand for the row from here on.
-    mine = scratch.save(docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), fingerprint_column(F.col(text_col), width).alias("fp")), "fingerprints")
-    fps = scratch.save(mine.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("z"), "id", "th")).alias("least")), "distinct")
-    groups = simhash_groups(fps.select("fp"), scratch)
-    firsts = groups.join(fps, "fp").groupBy("root").agg(F.min("least").alias("least"))
-    alone = fps.join(groups, "fp", "left_anti").select("least")
-    return staying(docs, alone.unionByName(firsts.select("least")), scratch, id_col, text_col)
-
-
-def staying(docs: DataFrame, firsts: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
-    """The rows of docs that ``firsts(least struct(id, th))`` names by id and hash of text."""
-    stay = scratch.save(firsts.select(F.col("least.id").alias("__stay_id"), F.col("least.th").alias("__stay_th")), "stay")
-    kept = docs.join(stay, F.col(id_col).eqNullSafe(F.col("__stay_id")) & (F.xxhash64(text_col) == F.col("__stay_th")), "left_semi")
-    # Rows equal in id and text are copies too.
-    return kept.withColumn("__stay_hash", F.xxhash64(text_col)).dropDuplicates([id_col, "__stay_hash"]).drop("__stay_hash")
+    mine = scratch.save(docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), fingerprint_column(F.col(text_col), width).alias("node")), "fingerprints")
+    fps = scratch.save(mine.select(F.col("node").alias("fp")).distinct(), "distinct")
+    groups = simhash_groups(fps, scratch)
+    return keep_first(docs, mine, groups.select(F.col("fp").alias("node"), "root"), scratch, id_col, text_col)
+
+
+def keep_first(docs: DataFrame, rows: DataFrame, roots: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs that stay, given ``rows(id, th, node)`` of all of them and ``roots(node, root)`` of the nodes in groups of several.
+
+    Decided on ids and hashes. The texts meet only the list of what goes, by a join that the planner broadcasts while the list is small
+    and that shuffles them once where it is not; rows equal in id and text, of which one stays, are looked for and only then treated apart.
+    """
+    rooted = scratch.save(rows.join(roots, "node", "left").select("id", "th", F.coalesce("root", "node").alias("root")), "rooted")
+    least = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "th")).alias("least")
+    firsts = scratch.save(rooted.groupBy("root").agg(least), "firsts")
+    same = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("th") == F.col("least.th"))
+    gone = rooted.join(firsts, "root").where(~same).select(F.col("id").alias("__gone_id"), F.col("th").alias("__gone_th")).distinct()
+    gone = scratch.save(gone, "gone")
+    twice = rooted.groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("__gone_id"), F.col("th").alias("__gone_th"))
+    twice = scratch.save(twice, "twice")
+    on = F.col(id_col).eqNullSafe(F.col("__gone_id")) & (F.xxhash64(text_col) == F.col("__gone_th"))
+    kept = docs.join(gone, on, "left_anti")
+    if twice.isEmpty():
+        return kept
+    again = kept.join(twice, on, "left_semi").withColumn("__gone_hash", F.xxhash64(text_col)).dropDuplicates([id_col, "__gone_hash"]).drop("__gone_hash")
+    return kept.join(twice, on, "left_anti").unionByName(again)
