@@ -11,12 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import decontaminate, mixing, near_copies, quality, token_files
-from textloom.llm._util import Scratch, read_table, small_batches
+from textloom.llm._util import Scratch, read_table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go; null and empty texts are among them. A null language is judged by script."""
-    small_batches(spark)
     rules = quality.Rules(public_tokenizers.path("piece_bpe_32k.model"))
     return docs.where(quality.kept_column(rules, F.col("text"), F.col("lang")))
 
