@@ -98,3 +98,28 @@ def test_many_copies(spark):
     out = got(documents(spark, rows))
     want = brute([t for _, t in rows])
     assert out == {k: w for (k, _), w in zip(rows, want)}
+
+
+def test_first_hash_meets_by_chance(spark):
+    """With two bits left of the first hash nearly all groups meet in it; the second one, and the bytes within a document, still decide."""
+    texts = [t if t != "x" * 1500 else "xy" * 300 + "z" * 900 for t in planted(4)]
+    df = documents(spark, list(enumerate(texts)))
+    out = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.removals(df, bits=3).collect()}
+    assert out == dict(enumerate(brute(texts)))
+
+
+def test_shared_passages(spark):
+    """Whatever its bytes and spaces, a passage of 51 words in two documents is counted in both, and 31 words never are."""
+    rng = random.Random(8)
+    text = lambda n: ["".join(rng.choices("abcdefghij", k=rng.randint(1, 4))) + str(rng.randrange(10**6)) for _ in range(n)]
+    rows, want = [], set()
+    for g in range(30):
+        n = (31, 51, 60)[g % 3]
+        shared = text(n)
+        for k in range(2):
+            rows.append((2 * g + k, " ".join(text(rng.randint(0, 40))) + " " + (" ", "\n ")[k].join(shared) + " " + " ".join(text(rng.randint(20, 40)))))
+            if n >= 51:
+                want.add(2 * g + k)
+    rows += [(100, " ".join(text(60))), (101, None), (102, " ".join(["a"] * 51)), (103, " ".join(["a"] * 51))]
+    out = {r.doc_id: r.n_passages for r in sd.removals(documents(spark, rows)).collect()}
+    assert {k for k, n in out.items() if n} == want | {102, 103}

@@ -14,8 +14,13 @@ place of it, so over tables the same question is put to hashes, exactly in the s
    and as partners for them the first of each set of equal groups.
 
 All of that is counting by hash with partial aggregation and joins that split hot keys: a passage in a third of all documents
-costs as much as the bytes it covers. Repeats within a document are found in place. Hashes are 64-bit polynomials, compared only
-at the same distance from the same anchor.
+costs as much as the bytes it covers. Repeats within a document are found in place and compared byte by byte. Equal texts are one
+text from the start. Groups are equal if two hashes of their bytes are, a 64-bit polynomial and an XXH3 of 64 bits, and only at the same distance
+from the same anchor; candidates and what to cut further rest on one, where a chance meeting costs work but changes nothing.
+
+Besides, ``n_passages`` counts what a document shares with others in words, whatever its bytes: of every 51 words in a row the 32
+adjoining words of least hash are drawn, and those counted that a document elsewhere draws too. Documents that have 51 words or more in
+common, however spaced, have at least one; nothing is removed for it.
 
 Defined results: texts are UTF-8, null is empty; texts under 400 bytes keep all; rows of equal id and text are copies of each
 other, with ``keep="first"`` all of them count as the first; an empty table gives an empty result; other columns are not read.
@@ -28,12 +33,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import Scratch, small_batches
+from ._util import Scratch
 
 LENGTH, GRAM, WIDE, NARROW = 400, 64, 64, 8
+PASSAGE, DRAWN = 51, 32
+_IS_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 _rng = np.random.default_rng(20_240_501)
 _TABLE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _R = int(_rng.integers(1 << 40, 1 << 62)) * 8 + 5
@@ -61,7 +69,7 @@ class Hashed:
     """Hashes of any spans of a byte string from one pass over it; equal bytes give equal hashes wherever they stand."""
 
     def __init__(self, data: bytes):
-        self.n = len(data)
+        self.data, self.n = data, len(data)
         pw, self.inv = _grown(self.n + 1)
         self.sums = np.zeros(self.n + 1, np.uint64)
         np.cumsum(_TABLE[np.frombuffer(data, np.uint8)] * pw[: self.n], out=self.sums[1:])
@@ -83,10 +91,10 @@ def _least(x: np.ndarray, w: int) -> np.ndarray:
 
 
 class Anchored:
-    """A document's windows by anchor: ``at`` the anchors, ``gram`` their strings' hashes, ``lo`` and ``hi`` their first and last window."""
+    """A document's windows by anchor: ``at`` the anchors, ``gram`` their strings' hashes (even), ``lo`` and ``hi`` their first and last window."""
 
-    def __init__(self, data: bytes):
-        self.h = Hashed(data)
+    def __init__(self, h: Hashed):
+        self.h = h
         self.windows = self.h.n - LENGTH + 1
         i = np.arange(self.h.n - GRAM + 1)
         g = self.h.spans(i, i + GRAM)
@@ -95,22 +103,41 @@ class Anchored:
         self.lo = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         self.hi = np.append(self.lo[1:], self.windows) - 1
         self.at = at[self.lo]
-        self.gram = g[self.at]
+        self.gram = g[self.at] & ~np.uint64(1)
 
-    def within(self) -> tuple[np.ndarray, np.ndarray]:
+    def within(self, bits: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(windows that repeat within the document, those of them that are the first)."""
         again, first = np.zeros(self.windows, bool), np.zeros(self.windows, bool)
         if len(np.unique(self.gram)) < len(self.gram):
             i = np.arange(self.windows)
-            w = self.h.spans(i, i + LENGTH)
+            w = self.h.spans(i, i + LENGTH).view(np.int64) & bits
             order = np.argsort(w, kind="stable")
             same = w[order[1:]] == w[order[:-1]]
+            data = self.h.data
+            if any(data[x : x + LENGTH] != data[y : y + LENGTH] for x, y in zip(order[1:][same].tolist(), order[:-1][same].tolist(), strict=True)):
+                number: dict[bytes, int] = {}  # hashes have met by chance: the bytes themselves decide
+                w = np.array([number.setdefault(data[x : x + LENGTH], x) for x in range(self.windows)])
+                order = np.argsort(w, kind="stable")
+                same = w[order[1:]] == w[order[:-1]]
             again[order[1:][same]] = again[order[:-1][same]] = True
             start = order[np.concatenate([[True], ~same])]
             first[start] = again[start]
         return again, first
 
 
+def drawn(h: Hashed) -> np.ndarray:
+    """Hashes (odd) of the strings of words drawn from a document's passages."""
+    space = np.concatenate([[True], _IS_SPACE[np.frombuffer(h.data, np.uint8)], [True]])
+    start, end = np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:])
+    if len(start) < PASSAGE:
+        return np.empty(0, np.uint64)
+    w = h.spans(start, end)
+    pw, inv = _grown(len(w) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w * pw[: len(w)], dtype=np.uint64)])
+    i = np.arange(len(w) - DRAWN + 1)
+    return np.unique(_least(mix((sums[i + DRAWN] - sums[i]) * inv[i]), PASSAGE - DRAWN + 1) | np.uint64(1))
+
+
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last index of each run of true values."""
     d = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
@@ -140,6 +167,12 @@ def _hashes(h: Hashed, base: np.ndarray | int, p: np.ndarray, o: np.ndarray, siz
     return mix(every ^ label).view(np.int64), mix(shared ^ label).view(np.int64)
 
 
+def _second(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of another kind of the bytes of groups, from start up to end."""
+    h, view = xxhash.xxh3_64_intdigest, memoryview(data)
+    return np.fromiter((h(view[a:b]) for a, b in zip(start.tolist(), end.tolist(), strict=True)), dtype=np.uint64, count=len(start)).view(np.int64)
+
+
 _KEY = "k1 long, k2 long"
 
 
@@ -148,33 +181,37 @@ def _bytes(text: str | None) -> bytes:
 
 
 def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row per text: its distinct anchors (0 if one of them stands twice in it) and drawn strings of words."""
     for b in batches:
-        ks, gs = [], []
-        for k1, k2, t in zip(b["k1"], b["k2"], b["t"], strict=True):
-            if len(data := _bytes(t)) >= LENGTH:
-                g = Anchored(data).gram
-                ks.append((k1, k2, len(g)))
-                gs.append(g)
-        if ks:
-            k1, k2, n = (np.array(x, dtype=np.int64) for x in zip(*ks, strict=True))
-            yield pd.DataFrame({"k1": np.repeat(k1, n), "k2": np.repeat(k2, n), "gram": np.concatenate(gs).view(np.int64)})
-
-
-def _first_groups(keep: str):
+        rows = []
+        for t in b["t"]:
+            h = Hashed(_bytes(t))
+            words, grams = drawn(h), np.empty(0, np.uint64)
+            if h.n >= LENGTH:
+                all_ = Anchored(h).gram
+                grams = np.unique(all_)
+                if len(grams) < len(all_):
+                    grams = np.append(grams, np.uint64(0))
+            rows.append((np.concatenate([grams, words]).view(np.int64), len(words)))
+        yield pd.DataFrame({"k1": b["k1"], "k2": b["k2"], "k3": b["k3"], "grams": [r[0] for r in rows], "words": [r[1] for r in rows]})
+
+
+def _first_groups(keep: str, bits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for k1, k2, t, grams in zip(b["k1"], b["k2"], b["t"], b["grams"], strict=True):
-                x = Anchored(_bytes(t))
-                again, first = x.within()
+                x = Anchored(Hashed(_bytes(t)))
+                again, first = x.within(bits)
                 s, e = runs(again if keep == "none" else again & ~first)
                 if len(s):
-                    yield pd.DataFrame({"k1": k1, "k2": k2, "p": -1, "j": 0, "a": s, "b": e, "live": 0, "every": 0, "shared": 0})
+                    yield pd.DataFrame({"k1": k1, "k2": k2, "p": -1, "j": 0, "a": s, "b": e, "live": 0, "every": 0, "second": 0, "shared": 0})
                 met = np.isin(x.gram.view(np.int64), grams)
                 g = _groups(x.at[met], x.lo[met], x.hi[met], ~again | first, x.windows)
                 if len(g):
                     p, j, a, z = (g[c].to_numpy() for c in "pjab")
                     every, shared = _hashes(x.h, 0, p, WIDE * j, WIDE, a, z)
-                    yield pd.DataFrame({"k1": k1, "k2": k2, "p": p, "j": j, "a": a, "b": z, "live": g["live"].to_numpy(), "every": every, "shared": shared})
+                    second = _second(x.h.data, a, z + LENGTH)
+                    yield pd.DataFrame({"k1": k1, "k2": k2, "p": p, "j": j, "a": a, "b": z, "live": g["live"].to_numpy(), "every": every & bits, "second": second, "shared": shared})
 
     return run
 
@@ -213,26 +250,34 @@ def _parts(b: pd.DataFrame, size: int, live: np.ndarray, chosen: np.ndarray | No
     return r, k, o[r, k], lo[r, k], hi[r, k]
 
 
-def _narrow_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        if not len(b):
-            continue
-        h, base, live = _unpacked(b)
-        r, m, o, lo, hi = _parts(b, NARROW, live, None)
-        p = b["p"].to_numpy()[r]
-        every, shared = _hashes(h, base[r], p, o, NARROW, lo, hi)
-        yield pd.DataFrame({"k1": b["k1"].to_numpy()[r], "k2": b["k2"].to_numpy()[r], "p": p, "j": b["j"].to_numpy()[r], "m": m, "a": lo, "b": hi, "every": every, "shared": shared})
+def _narrow_groups(bits: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if not len(b):
+                continue
+            h, base, live = _unpacked(b)
+            r, m, o, lo, hi = _parts(b, NARROW, live, None)
+            p = b["p"].to_numpy()[r]
+            every, shared = _hashes(h, base[r], p, o, NARROW, lo, hi)
+            second = _second(h.data, base[r] + lo, base[r] + hi + LENGTH)
+            yield pd.DataFrame({"k1": b["k1"].to_numpy()[r], "k2": b["k2"].to_numpy()[r], "p": p, "j": b["j"].to_numpy()[r], "m": m, "a": lo, "b": hi, "every": every & bits, "second": second, "shared": shared})
 
+    return run
 
-def _single(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        if not len(b):
-            continue
-        h, base, live = _unpacked(b)
-        chosen = np.repeat((b["parts"].to_numpy()[:, None] >> np.arange(WIDE // NARROW)) & 1, NARROW, axis=1).astype(bool)
-        r, _, o, lo, _ = _parts(b, 1, live, chosen)
-        every, _ = _hashes(h, base[r], b["p"].to_numpy()[r], o, 1, lo, lo)
-        yield pd.DataFrame({"k1": b["k1"].to_numpy()[r], "k2": b["k2"].to_numpy()[r], "a": lo, "b": lo, "every": every})
+
+def _single(bits: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if not len(b):
+                continue
+            h, base, live = _unpacked(b)
+            chosen = np.repeat((b["parts"].to_numpy()[:, None] >> np.arange(WIDE // NARROW)) & 1, NARROW, axis=1).astype(bool)
+            r, _, o, lo, _ = _parts(b, 1, live, chosen)
+            every, _ = _hashes(h, base[r], b["p"].to_numpy()[r], o, 1, lo, lo)
+            second = _second(h.data, base[r] + lo, base[r] + lo + LENGTH)
+            yield pd.DataFrame({"k1": b["k1"].to_numpy()[r], "k2": b["k2"].to_numpy()[r], "a": lo, "b": lo, "every": every & bits, "second": second})
+
+    return run
 
 
 def _removal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -256,12 +301,12 @@ def _settled(groups: DataFrame, keep: str, scratch: Scratch, name: str) -> DataF
     What is counted is written first: a join of two written tables can split a hash that holds a large part of the rows.
     """
     me = F.struct("k1", "k2", "a")
-    met = groups.groupBy("every").agg(F.count("*").alias("n"), F.min(me).alias("first")).where("n > 1").drop("n")
+    met = groups.groupBy("every", "second").agg(F.count("*").alias("n"), F.min(me).alias("first")).where("n > 1").drop("n")
     met = scratch.save(met, f"{name}met")
     lead = F.coalesce(F.col("first") == me, F.lit(False))
     met_ = F.col("first").isNotNull()
-    both = groups.join(met, "every", "left").withColumns({"hit": met_ & ~lead if keep == "first" else met_, "lead": lead})
-    done = scratch.save(both.drop("first", "every"), f"{name}hit")
+    both = groups.join(met, ["every", "second"], "left").withColumns({"hit": met_ & ~lead if keep == "first" else met_, "lead": lead})
+    done = scratch.save(both.drop("first", "every", "second"), f"{name}hit")
     scratch.drop(f"{name}met", name)
     return done
 
@@ -274,54 +319,76 @@ def _to_cut(groups: DataFrame, keep: str, scratch: Scratch, name: str) -> DataFr
     return groups.where("not hit or lead").join(met, "shared", "left_semi")
 
 
-def _keys(id_: Column, text: Column) -> tuple[Column, Column]:
-    return F.coalesce(id_.cast("long"), F.lit(-(1 << 63))).alias("k1"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("k2")
+def _keys(id_: Column, text: Column) -> tuple[Column, Column, Column]:
+    """Id and two hashes of the text."""
+    text = F.coalesce(text, F.lit(""))
+    return F.coalesce(id_.cast("long"), F.lit(-(1 << 63))).alias("k1"), F.xxhash64(text).alias("k2"), F.xxhash64(F.lit(1), text).alias("k3")
 
 
-def repeats(docs: DataFrame, scratch: Scratch, keep: str, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(texts that share an anchor, windows to remove as (k1, k2, a, b), both ends included)."""
-    rows = docs.select(*_keys(F.col(id_col), F.col(text_col)), F.col(text_col).alias("t")).where(F.octet_length("t") >= LENGTH)
-    anchors = scratch.save(rows.mapInPandas(_anchors, f"{_KEY}, gram long"), "anchors")
-    common = scratch.save(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "common")
-    grams = anchors.join(common, "gram", "left_semi").groupBy("k1", "k2").agg(F.collect_set("gram").alias("grams"))
-    texts = scratch.save(rows.join(grams, ["k1", "k2"]), "texts")
-    scratch.drop("anchors", "common")
-    wide = scratch.save(texts.mapInPandas(_first_groups(keep), f"{_KEY}, p long, j int, a long, b long, live long, every long, shared long"), "wide")
+def repeats(docs: DataFrame, scratch: Scratch, keep: str, id_col: str, text_col: str, bits: int = -1) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(texts that share an anchor, windows to remove as (k1, k2, a, b) with both ends, texts of several rows, shared strings of words by text).
+
+    Of equal texts only the row of the smallest id is looked at. ``bits`` masks the first hash, for tests of what happens when it meets by chance.
+    """
+    rows = docs.select(*_keys(F.col(id_col), F.col(text_col)), F.col(text_col).alias("t")).where(F.octet_length("t") >= 2 * PASSAGE - 1)
+    every = scratch.save(rows.mapInPandas(_anchors, f"{_KEY}, k3 long, grams array<long>, words int"), "every")
+    reps = scratch.save(every.groupBy("k2", "k3").agg(F.min("k1").alias("k1"), F.count("*").alias("n"), F.max("words").alias("words")), "reps")
+    anchors = every.join(reps.select("k1", "k2", "k3"), ["k1", "k2", "k3"], "left_semi").select("k1", "k2", F.explode("grams").alias("gram"))
+    anchors = scratch.save(anchors, "anchors")
+    common = scratch.save(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1 or gram = 0").select("gram"), "common")
+    odd = F.col("gram").bitwiseAND(F.lit(1)) == 1
+    met = anchors.join(common, "gram", "left_semi").groupBy("k1", "k2").agg(F.collect_set(F.when(~odd, F.col("gram"))).alias("grams"), F.count_if(odd).alias("n_passages"))
+    met = scratch.save(met, "met")
+    scratch.drop("every", "anchors", "common")
+    texts = rows.where(F.octet_length("t") >= LENGTH).join(met.where(F.size("grams") > 0).select("k1", "k2", "grams"), ["k1", "k2"])
+    texts = scratch.save(texts, "texts")
+    wide = scratch.save(texts.mapInPandas(_first_groups(keep, bits), f"{_KEY}, p long, j int, a long, b long, live long, every long, second long, shared long"), "wide")
     own = scratch.save(wide.where("p < 0").select("k1", "k2", "a", "b"), "own")
     wide_hit = _settled(wide.where("p >= 0"), keep, scratch, "wide")
     cells = _to_cut(wide_hit, keep, scratch, "wide").groupBy("k1", "k2").agg(F.collect_set(F.struct("p", "j", "a", "b", "live")).alias("cells"))
     cut = texts.drop("grams").join(cells, ["k1", "k2"]).mapInPandas(_cut_out, f"{_KEY}, p long, j int, a long, b long, live long, seg binary")
     segs = scratch.save(cut, "segs")
-    narrow = scratch.save(segs.mapInPandas(_narrow_groups, f"{_KEY}, p long, j int, m int, a long, b long, every long, shared long"), "narrow")
+    narrow = scratch.save(segs.mapInPandas(_narrow_groups(bits), f"{_KEY}, p long, j int, m int, a long, b long, every long, second long, shared long"), "narrow")
     narrow_hit = _settled(narrow, keep, scratch, "narrow")
     parts = _to_cut(narrow_hit, keep, scratch, "narrow").groupBy("k1", "k2", "p", "j").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("m"))).cast("int").alias("parts"))
-    single = scratch.save(segs.join(parts, ["k1", "k2", "p", "j"]).mapInPandas(_single, f"{_KEY}, a long, b long, every long"), "single")
+    single = scratch.save(segs.join(parts, ["k1", "k2", "p", "j"]).mapInPandas(_single(bits), f"{_KEY}, a long, b long, every long, second long"), "single")
     single_hit = _settled(single, keep, scratch, "single")
     scratch.drop("segs")
     marks = [own, *(g.where("hit").select("k1", "k2", "a", "b") for g in (wide_hit, narrow_hit, single_hit))]
     out = marks[0]
     for m in marks[1:]:
         out = out.unionByName(m)
-    return texts.drop("grams"), out
+    return texts.drop("grams"), out, reps.where("n > 1"), met.where("n_passages > 0").select("k1", "k2", "n_passages")
 
 
-def removals(docs: DataFrame, keep: str = "none", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256 of what is left, and the removed spans of bytes."""
+def removals(docs: DataFrame, keep: str = "none", id_col: str = "doc_id", text_col: str = "text", bits: int = -1) -> DataFrame:
+    """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256 of what is left, the removed spans of bytes, and n_passages."""
     if keep not in ("none", "first"):
         raise ValueError(f"keep: {keep}")
-    spark = docs.sparkSession
-    small_batches(spark)
-    scratch = Scratch(spark, "repeats")
-    texts, marks = repeats(docs, scratch, keep, id_col, text_col)
+    scratch = Scratch(docs.sparkSession, "repeats")
+    texts, marks, copies, passages = repeats(docs, scratch, keep, id_col, text_col, bits)
     marks = marks.groupBy("k1", "k2").agg(F.collect_set(F.struct("a", "b")).alias("marks"))
     span = "array<struct<start:bigint,end:bigint>>"
     cut = texts.join(marks, ["k1", "k2"]).mapInPandas(_removal, f"{_KEY}, n_removed long, n_spans long, kept_sha256 string, spans {span}")
     cut = scratch.save(cut.dropDuplicates(["k1", "k2"]), "removals")
     text = F.coalesce(F.col(text_col), F.lit(""))
     whole = docs.select(F.col(id_col).alias("id"), *_keys(F.col(id_col), F.col(text_col)), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("sha"))
-    both = whole.join(cut, ["k1", "k2"], "left")
+    copies = copies.select("k2", "k3", F.col("k1").alias("first"), F.col("words").cast("long").alias("words"))
+    both = whole.join(copies, ["k2", "k3"], "left").join(cut, ["k1", "k2"], "left").join(passages, ["k1", "k2"], "left")
+    copy = F.col("first").isNotNull() & (F.col("n_bytes") >= LENGTH)
+    if keep == "first":
+        copy &= F.col("first") != F.col("k1")
     zero = F.lit(0).cast("long")
-    return both.select(F.col("id").alias(id_col), "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"), F.coalesce("spans", F.array().cast(span)).alias("spans"))
+    at = lambda all_, found, none: F.when(copy, all_).otherwise(F.coalesce(found, none))
+    return both.select(
+        F.col("id").alias(id_col),
+        "n_bytes",
+        at(F.col("n_bytes"), F.col("n_removed"), zero).alias("n_removed"),
+        at(zero + 1, F.col("n_spans"), zero).alias("n_spans"),
+        at(F.lit(hashlib.sha256().hexdigest()), F.col("kept_sha256"), F.col("sha")).alias("kept_sha256"),
+        at(F.array(F.struct(zero.alias("start"), F.col("n_bytes").alias("end"))), F.col("spans"), F.array().cast(span)).alias("spans"),
+        F.coalesce("words", "n_passages", zero).alias("n_passages"),
+    )
 
 
 def suffix_array(data: bytes | np.ndarray) -> np.ndarray:
