@@ -7,6 +7,8 @@ import re
 import tempfile
 import uuid
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,38 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").split()
 
 
+class _Words(dict):
+    """Hashes of words already met."""
+
+    def __missing__(self, w: bytes) -> int:
+        if len(self) >= 400_000:
+            self.clear()
+        h = self[w] = xxhash.xxh64_intdigest(w, 42)
+        return h
+
+
+_words = _Words()
+STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def hashed_shingles(ws: list[bytes], width: int) -> np.ndarray:
+    """64-bit hashes of every ``width`` words in a row; of the whole sequence when it is shorter."""
+    if not ws:
+        return np.empty(0, dtype=np.uint64)
+    a = np.fromiter(map(_words.__getitem__, ws), dtype=np.uint64, count=len(ws))
+    width = min(width, len(ws))
+    n = len(ws) - width + 1
+    h = np.full(n, width, dtype=np.uint64)
+    for k in range(width):
+        h = mixed(h * STEP + a[k : k + n])
+    return h
+
+
 def word_count(text: Column) -> Column:
     """Words of a string column; 0 for null. JVM-side."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -29,10 +63,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``. Where it is unset (tests), a temporary one."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``. Where it is unset and all runs in one process (tests), a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: driver and executors need a folder that all of them reach")
     if "dir" not in _own:
         _own["dir"] = "file://" + tempfile.mkdtemp(prefix="textloom-")
     return _own["dir"]
@@ -63,9 +99,9 @@ class Scratch:
             atexit.register(self._remove, self._root)
         return self._root
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression=compression)
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -82,10 +118,11 @@ class Scratch:
             pass
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bounds what Arrow hands to Python at once: long texts would fill a worker at 10,000 rows a batch."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def slices(batches, rows: int = 512):
+    """Batches in slices of so many rows, for what holds several times its input. Spark itself bounds the bytes of a batch."""
+    for b in batches:
+        for k in range(0, len(b), rows):
+            yield b.iloc[k : k + rows]
 
 
 def file_system(uri: str):

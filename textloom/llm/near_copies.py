@@ -20,13 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import Scratch
+from ._util import STEP, Scratch, hashed_shingles, mixed
 from .components import connected
-from .simhash import SEED, TILE, _Forest, keep_first, majority
+from .simhash import TILE, _Forest, keep_first, majority
 
 WIDTH, THRESHOLD, BANDS, ROWS, RADIUS = 5, 0.8, 32, 5, 23
 #: What one task compares at once: sets, and shingles in them. Larger cells are cut.
@@ -34,39 +33,11 @@ CELL, SHINGLES = 2_048, 4_000_000
 _DRAW = np.random.default_rng(42)
 _MULTIPLY = (_DRAW.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 _MIX = _DRAW.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)[:, None]
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-
-
-class _Words(dict):
-    """Hashes of words already met."""
-
-    def __missing__(self, w: bytes) -> int:
-        if len(self) >= 400_000:
-            self.clear()
-        h = self[w] = xxhash.xxh64_intdigest(w, SEED)
-        return h
-
-
-_words = _Words()
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
 
 
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted hashes of the distinct shingles."""
-    ws = (text or "").encode("utf-8", "replace").lower().split()
-    if not ws:
-        return np.empty(0, dtype=np.uint64)
-    a = np.fromiter(map(_words.__getitem__, ws), dtype=np.uint64, count=len(ws))
-    width = min(WIDTH, len(ws))
-    n = len(ws) - width + 1
-    h = np.full(n, width, dtype=np.uint64)
-    for k in range(width):
-        h = _mixed(h * _STEP + a[k : k + n])
-    return np.unique(h)
+    return np.unique(hashed_shingles((text or "").encode("utf-8", "replace").lower().split(), WIDTH))
 
 
 def band_keys(h: np.ndarray) -> np.ndarray:
@@ -81,13 +52,13 @@ def band_keys(h: np.ndarray) -> np.ndarray:
         np.minimum(least, y.min(axis=1), out=least)
     key = np.arange(BANDS, dtype=np.uint64)
     for row in least.reshape(BANDS, ROWS).T:
-        key = _mixed(key * _STEP + row)
+        key = mixed(key * STEP + row)
     return key
 
 
 def set_name(h: np.ndarray) -> int:
     """A hash of a set."""
-    return int(_mixed(np.array([_mixed(h).sum(dtype=np.uint64) + np.uint64(len(h))], dtype=np.uint64))[0]) if len(h) else 0
+    return int(mixed(np.array([mixed(h).sum(dtype=np.uint64) + np.uint64(len(h))], dtype=np.uint64))[0]) if len(h) else 0
 
 
 def cell_links(name: np.ndarray, root: np.ndarray, fp: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -224,11 +195,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     src = docs.select(F.col(id_col).cast("string").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("t"))
     mine = src.mapInPandas(sketches, "id string, th long, name long, fp long, n long, keys array<long>")
     mine = scratch.save(mine.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType)), "sketches")
-    sets = mine.groupBy("name").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    sets = mine.groupBy("name").agg(F.min(F.struct("id", "th")).alias("x"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    sets = scratch.save(sets, "distinct")
     met, bands = _met(sets, scratch)
-    # One text of each set that meets another is read again for its shingles; all others travel no further than their sketch.
-    one = mine.join(met.select("name").distinct(), "name").groupBy("name").agg(F.min(F.struct("id", "th")).alias("x"))
-    one = scratch.save(one.select(F.col("x.id").alias("i2"), F.col("x.th").alias("th2")), "wanted")
+    # One text of each set that meets another is read again for its shingles; all others travel no further than their sketch. Merged,
+    # never broadcast, so that the stage's shuffle is in proportion to its input at every size.
+    one = sets.join(met.select("name").distinct(), "name", "left_semi").select(F.col("x.id").alias("i2"), F.col("x.th").alias("th2")).hint("merge")
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("t"))
     texts = texts.join(one, F.col("id").eqNullSafe(F.col("i2")) & (F.col("th") == F.col("th2")), "left_semi").select("t")
     held = texts.mapInPandas(hashes, "name long, h array<long>").groupBy("name").agg(F.first("h").alias("h"))

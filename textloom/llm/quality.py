@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import small_batches, words
+from ._util import slices, words
 
 SYMBOLS, SPACES = "#*$%&|<>", " \t\n\x0b\x0c\r"
 SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, chars_per_token double, byte_share double, entropy double, band string, kept boolean"
@@ -194,10 +194,8 @@ def _frame(texts: pd.Series, langs: pd.Series, rules: Rules) -> pd.DataFrame:
 
 def quality_table(docs: DataFrame, rules: Rules, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per document: its id, the base counts, the fertility figures and the verdict."""
-    small_batches(docs.sparkSession)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in slices(batches):
             out = _frame(b["t"], b["g"], rules)
             out.insert(0, "id", b["id"].array)
             yield out
