@@ -5,8 +5,9 @@ smallest page id is a ``response``, the others are ``revisit`` records that name
 length. Smaller payloads are always written in full. The index is a table; a selection of it is read by sorting its ranges
 within each archive, joining ranges that lie close together and cutting the bytes read into records.
 
-Digests and the smallest id of each are found on narrow rows; only rows whose digest repeats get a partner, by a join whose
-skew handling splits a digest that holds many rows. Tasks that run again write archives of another name; the index, written
+Digests and the smallest id of each are found on narrow rows. Digests that repeat are entered in a bitmap of fixed size, which every
+task gets: payloads outside it are written where they are read, and only what lies in it (repeats, and a few by chance) is shuffled to meet
+its partner, by a join whose skew handling splits a digest that holds many rows. Reading back has a task for every 16 MB selected. Tasks that run again write archives of another name; the index, written
 once, names those that count.
 
 Defined results: a null html is empty; rows that share digest and smallest id are all responses; a null page id never is
@@ -28,13 +29,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import Scratch, file_system, make_dir, small_batches
+from ._util import Scratch, file_system, make_dir, slices
 
 LEAST = 100
 DATE = "2000-01-01T00:00:00Z"
 INDEX = "page_id long, archive string, offset long, length long, url string, digest string, record_type string, refers_to long"
 #: Ranges that lie at most so far apart are read as one, up to so many bytes at once.
 GAP, MOST = 64 << 10, 16 << 20
+#: Pieces of the bitmap of repeated digests, of 4 KB each.
+PIECES, PIECE_BITS = 1_024, 32_768
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:pages")
 
 
@@ -87,18 +90,23 @@ def referred(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Data
     id_ = F.col(id_col).cast("long")
     rows = pages.select(id_.alias("i"), F.col(url_col).alias("u"), html.alias("h"), F.sha2(html, 256).alias("d"), F.octet_length(html).cast("long").alias("n"))
     twins = rows.where(F.col("n") >= LEAST).groupBy("d").agg(F.count("*").alias("k"), F.min("i").alias("first")).where("k > 1 and first is not null").select("d", "first")
-    both = rows.join(twins, "d", "left")
-    return both.withColumn("ref", F.when(~F.col("i").eqNullSafe(F.col("first")), F.col("first"))).drop("first")
+    spot = F.pmod(F.xxhash64("d"), F.lit(PIECES * PIECE_BITS))
+    piece, bit = F.floor(spot / PIECE_BITS).cast("int"), F.pmod(spot, F.lit(PIECE_BITS)).cast("int")
+    bitmap = F.broadcast(twins.groupBy(piece.alias("piece")).agg(F.bitmap_construct_agg(bit).alias("bits")))  # 4 MB at most
+    marked = rows.withColumns({"piece": piece, "bit": bit}).join(bitmap, "piece", "left")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = marked.withColumn("again", F.coalesce(F.call_function("shiftright", byte, F.pmod("bit", F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1, F.lit(False)))
+    alone = marked.where(~F.col("again")).select("i", "u", "h", "d", "n", F.lit(None).cast("long").alias("ref"))
+    met = marked.where("again").select("i", "u", "h", "d", "n").join(twins, "d", "left")
+    return alone.unionByName(met.withColumn("ref", F.when(~F.col("i").eqNullSafe(F.col("first")), F.col("first"))).drop("first"))
 
 
 def write_archives(pages: DataFrame, folder: str, scratch: Scratch, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Writes an archive per task and returns the index, a row per record."""
-    small_batches(pages.sparkSession)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, top = file_system(folder)
         path, out, at = f"{top}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:8]}.warc.gz", None, 0
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for i, url, html, digest, n, ref in b.itertuples(index=False):
                 i, ref = (None if pd.isna(x) else int(x) for x in (i, ref))
@@ -161,7 +169,8 @@ def read_records(selected: DataFrame, folder: str) -> DataFrame:
                     yield pd.DataFrame(rows, columns=["page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"], dtype=object).astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "int64"})
 
     where = selected.select("archive", "offset", "length", F.floor(F.col("offset") / MOST).alias("stretch"))
-    where = where.repartition("archive", "stretch").sortWithinPartitions("archive", "offset")
+    tasks = max(1, -(-(selected.agg(F.sum("length")).first()[0] or 0) // MOST))  # rows are few and narrow, what they name is not
+    where = where.repartition(tasks, "archive", "stretch").sortWithinPartitions("archive", "offset")
     return where.mapInPandas(run, "page_id long, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
 
 
