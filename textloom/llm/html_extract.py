@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -23,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import small_batches
+from ._util import slices
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input".split())
@@ -69,13 +71,15 @@ def _named(tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
 
 
 class Lines(HTMLParser):
-    """Elements and lines of a page."""
+    """Elements and lines of a page. Where the open elements of each tag lie in the stack is kept, so a tag costs no walk through it."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.hard, self.soft, self.holds = [-1], [""], [False], [False], [False]
         self.stack = [0]
-        self.mute = 0
+        self.open: dict[str, list[int]] = defaultdict(list)  # places in the stack by tag
+        self.solid, self.walls = [0], [0]  # places of what is not inline; of those but paragraphs
+        self.mute = self.foreign = 0
         self.lines: list[tuple[str, int, int, int]] = []  # text, tags, characters in links, element
         self.part: list[str] = []
         self.tags = self.linked = self.links = 0
@@ -87,14 +91,32 @@ class Lines(HTMLParser):
         self.part, self.tags, self.linked = [], 0, 0
 
     def _block(self) -> int:
-        return next(e for e in reversed(self.stack) if self.tag[e] not in INLINE)
+        return self.stack[self.solid[-1]]
+
+    def _push(self, e: int, tag: str) -> None:
+        k = len(self.stack)
+        self.stack.append(e)
+        self.open[tag].append(k)
+        if tag not in INLINE:
+            self.solid.append(k)
+            if tag != "p":
+                self.walls.append(k)
+        self.mute += tag in HIDDEN
+        self.foreign += tag in FOREIGN
+        self.links += tag == "a"
 
     def _cut(self, at: int) -> None:
         """Closes the stack down to a length."""
         for e in self.stack[at:]:
-            self.mute -= self.tag[e] in HIDDEN
-            self.links -= self.tag[e] == "a"
+            tag = self.tag[e]
+            self.open[tag].pop()
+            self.mute -= tag in HIDDEN
+            self.foreign -= tag in FOREIGN
+            self.links -= tag == "a"
         del self.stack[at:]
+        for places in (self.solid, self.walls):
+            while places[-1] >= at:
+                places.pop()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
@@ -114,25 +136,26 @@ class Lines(HTMLParser):
         self.soft.append(soft)
         self.holds.append(False)
         if tag in ("article", "main"):
-            for x in self.stack:
+            for x in reversed(self.stack):
+                if self.holds[x]:  # and so do all around it
+                    break
                 self.holds[x] = True
-        self.stack.append(e)
-        self.mute += tag in HIDDEN
-        self.links += tag == "a"
+        self._push(e, tag)
 
     def _implied(self, tag: str) -> None:
         close, stop = _ENDS.get(tag, ((), ()))
-        for k in range(len(self.stack) - 1, 0, -1):
-            t = self.tag[self.stack[k]]
-            if t == "p" or t in close:
-                self._cut(k)
-                if t != "p":
-                    return
-            elif t in stop or (t not in INLINE and not close):
-                return
+        last = lambda tags: max((p[-1] for t in tags if (p := self.open.get(t))), default=0)
+        end = last(stop - close) if close else self.walls[-1]
+        at = last(close)
+        if at > end:
+            self._cut(at)
+            return
+        p = self.open["p"]
+        if (k := bisect_right(p, end)) < len(p):
+            self._cut(p[k])
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        foreign = self.mute and any(self.tag[e] in FOREIGN for e in self.stack)
+        foreign = self.foreign > 0
         self.handle_starttag(tag, attrs)
         if foreign and tag not in VOID and self.tag[self.stack[-1]] == tag:
             self._cut(len(self.stack) - 1)
@@ -144,13 +167,9 @@ class Lines(HTMLParser):
         inline = tag in INLINE or tag in HIDDEN
         if not inline:
             self.flush()
-        for k in range(len(self.stack) - 1, 0, -1):
-            t = self.tag[self.stack[k]]
-            if t == tag:
-                self._cut(k)
-                return
-            if inline and t not in INLINE and not (tag in HIDDEN and self.mute):
-                return
+        places = self.open.get(tag)
+        if places and (not inline or places[-1] >= self.solid[-1] or (tag in HIDDEN and self.mute)):
+            self._cut(places[-1])
 
     def handle_data(self, data: str) -> None:
         if not self.mute:
@@ -176,14 +195,14 @@ def smooth(x: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 def upper_cluster(x: np.ndarray) -> np.ndarray:
     """Which values are in the upper of two clusters; all where they don't differ."""
     low, high = x.min(), x.max()
-    if low == high:
+    if high - low <= 1e-9 * max(1.0, abs(high)):  # rounding tells them apart at most
         return np.ones(len(x), dtype=bool)
+    before = None
     while True:
         up = x > (low + high) / 2
-        new = x[~up].mean(), x[up].mean()
-        if new == (low, high):
+        if before is not None and np.array_equal(up, before):
             return up
-        low, high = new
+        low, high, before = x[~up].mean(), x[up].mean(), up
 
 
 def main_text(page: str | None) -> str:
@@ -235,10 +254,8 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: id, url, text, its code points."""
-    small_batches(pages.sparkSession)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in slices(batches):
             text = [main_text(x) for x in b["h"]]
             yield pd.DataFrame({"i": b["i"].array, "u": b["u"].array, "text": text, "n_chars": [len(t) for t in text]})
 
