@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from textloom.llm import decontaminate as dc
@@ -10,6 +11,15 @@ from .common import clashing, documents
 ITEMS = "item_id long, text string"
 
 
+def shingles(ws):
+    return [tuple(ws[k : k + 5]) for k in range(max(1, len(ws) - 4))]
+
+
+def alike(a, b):
+    low = sum((a & b).values())
+    return low / (sum(a.values()) + sum(b.values()) - low)
+
+
 def plain(text, items):
     """Every window of every item's size, by exact similarity."""
     ws = (text or "").lower().encode().split()
@@ -18,9 +28,9 @@ def plain(text, items):
         q = (t or "").lower().encode().split()
         if not q:
             continue
-        bag = Counter(dc.shingles(q))
+        bag = Counter(shingles(q))
         for p in range(len(ws) - len(q) + 1):
-            s = dc.weighted_jaccard(bag, Counter(dc.shingles(ws[p : p + len(q)])))
+            s = alike(bag, Counter(shingles(ws[p : p + len(q)])))
             if s >= 0.8 and s > out.get(item, (0, 0))[0]:
                 out[item] = (s, p, len(q))
     return {(i, p, n, round(s, 9)) for i, (s, p, n) in out.items()}
@@ -60,20 +70,40 @@ def test_blocks_reach_the_radius():
     index = dc.Index(items)
     for _ in range(400):
         k = rng.randrange(50)
-        mark = index.items[k].mark
+        mark = int(index.mark[k])
         for b in rng.sample(range(64), rng.randint(0, dc.RADIUS + 4)):
             mark ^= 1 << b
-        assert index.near(mark) == {j for j in range(50) if (index.items[j].mark ^ mark).bit_count() <= dc.RADIUS}
+        marks = np.array([mark, 0], dtype=np.uint64)
+        want = {(w, j) for w in (0, 1) for j in range(50) if (int(index.mark[j]) ^ int(marks[w])).bit_count() <= dc.RADIUS}
+        assert set(zip(*(x.tolist() for x in index.near(marks, 30)))) == want
+        assert not len(index.near(marks, 31)[0])
 
 
 def test_parts_of_the_index(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
-    assert len(dc.indexes(bench, index_bytes=1 << 20)) > 2
-    found = {r.doc_id for r in dc.leaks(docs, bench).collect()}
-    left = dc.clean(docs, bench)
-    assert left.columns == docs.columns
-    assert {r.doc_id for r in left.collect()} == {r.doc_id for r in docs.collect()} - found
+    least = (2 << 20) + 60_000
+    assert 1 < len(list(dc.parts(bench, index_bytes=least))) < 40
+    whole = sorted(map(tuple, dc.leaks(docs, bench).collect()))
+    assert sorted(map(tuple, dc.leaks(docs, bench, index_bytes=least).collect())) == whole
+    for size in (64 << 20, least):
+        left = dc.clean(docs, bench, index_bytes=size)
+        assert left.columns == docs.columns
+        assert {r.doc_id for r in left.collect()} == {r.doc_id for r in docs.collect()} - {r[0] for r in whole}
+
+
+def test_a_large_benchmark():
+    """20,000 items in one part: an index of some MB, and an altered item is found among them."""
+    rng = random.Random(6)
+    items = [(k, " ".join(f"w{rng.randrange(3000)}" for _ in range(rng.randint(20, 60)))) for k in range(20_000)]
+    index = dc.Index(items)
+    size = sum(x.nbytes for x in (index.bag, index.times, index.who, index.keys, index.key_at, index.bag_at, index.mark, index.size, *(x for b in index.blocks for x in b)))
+    assert size < 48 * sum(len(t.split()) for _, t in items) + 200 * len(items) + (2 << 20)
+    for k in rng.sample(range(20_000), 20):
+        ws = items[k][1].split()
+        ws[0] = "other"
+        text = "before " + " ".join(ws) + " after"
+        assert {(i, p, n, round(s, 9)) for i, p, n, s in index.matches(text)} == plain(text, [items[k]]) != set()
 
 
 @pytest.mark.parametrize("bench", [[], [(1, None), (2, ""), (None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (4, "solo")]])
