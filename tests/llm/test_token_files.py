@@ -17,9 +17,8 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 V = tf.Vocabulary(PATH)
 
 
-def plain(texts):
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
+def plain(texts, path=PATH):
+    t = Tokenizer.from_file(path)
     return [np.array([*x.ids, 2], dtype="<u4").tobytes() for x in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -117,3 +116,19 @@ def test_large_ids_are_exact(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", held)
     assert sorted((r.doc_id for r in out), key=str) == sorted([big, big + 2, None], key=str)
+
+
+def test_special_tokens_are_a_choice():
+    text = "a <|endoftext|> b<|endoftext|>"
+    assert 50256 in np.frombuffer(tf.Encoder(V).encode([text])[0], dtype="<u4")
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    ids = np.frombuffer(tf.Encoder(tf.Vocabulary(PATH, special_as_text=True)).encode([text])[0], dtype="<u4").tolist()
+    assert ids == [*t.encode(text, add_special_tokens=False).ids, 2] and 50256 not in ids
+
+
+def test_other_vocabularies_get_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    enc = tf.Encoder(tf.Vocabulary(path))
+    assert not enc.by_pieces and tf.Encoder(V).by_pieces
+    assert enc.encode(HARD) == plain(HARD, path)

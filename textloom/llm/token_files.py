@@ -10,8 +10,10 @@ Documents are dealt by range of id (hash of text where ids are equal, so that a
 file numbers follow the ranges, so files in order hold documents in ascending id order, null ids first. A task that is run
 again writes a file of another name; the manifest, written once all are done, names those that count.
 
-Tokenising goes by pieces cut before single spaces between visible characters, where this vocabulary's pre-tokeniser always
-cuts, so pieces already met come from a table of bounded size; a token that begins with a space marks where a piece begins.
+Tokenising goes by pieces cut before single spaces between visible characters, where a byte-level pre-tokeniser always
+cuts, so pieces already met come from a table of bounded size; a token that begins with a space marks where a piece begins. A vocabulary
+file that states another normaliser or pre-tokeniser, or whose ids of some probes differ by pieces, gets its texts whole, and so does a text that holds
+the string of an added token: such a string is that token, as the library has it, or plain text with ``special_as_text``.
 
 Defined results: null and empty texts are the end id alone; equal ids follow each other; an empty table gives no rows and no files.
 """
@@ -19,6 +21,8 @@ Defined results: null and empty texts are the end id alone; equal ids follow eac
 from __future__ import annotations
 
 import io
+import json
+import re
 import struct
 import uuid
 import zlib
@@ -34,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._util import Scratch, file_system, make_dir, small_batches
+from ._util import Scratch, file_system, make_dir, slices
 
 END_ID = 2
 _SKIP, _IDS, _MAGIC = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
@@ -42,6 +46,10 @@ _SKIP, _IDS, _MAGIC = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
 #: which Python and the tokeniser agree.
 _TAIL, _LETTERS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", "ɐ"
 
+#: The pre-tokeniser under which texts may be cut into pieces, and texts on which that is tried.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_PROBES = ["One two, three; don't (stop) 12 a.b!", " lead and  run \n\n tail ", "l'été où 3% — 漢字 😀", "x\ny \n z\tq", "Größe: [ok] {a} <b> 'c' \"d\"", "", "word"]
+
 
 @dataclass(frozen=True)
 class Vocabulary:
@@ -49,6 +57,7 @@ class Vocabulary:
 
     path: str
     end_id: int = END_ID
+    special_as_text: bool = False
     cache_pieces: int = 800_000
 
 
@@ -57,13 +66,36 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(vocabulary.path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = vocabulary.special_as_text
+        added = self.tok.get_added_tokens_decoder().values()
+        self.added = [a.content for a in added if not (a.special and vocabulary.special_as_text)]
         self.limit, self.end = vocabulary.cache_pieces, np.array([vocabulary.end_id], dtype="<u4").tobytes()
         names = [self.tok.id_to_token(i) or "" for i in range(self.tok.get_vocab_size())]
         self.begins = {" ": np.array([x.startswith("Ġ") for x in names]), "\n": np.array([x.startswith("Ċ") for x in names])}
         self.known: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
         self.missed = 0
+        with open(vocabulary.path, encoding="utf-8") as f:
+            made = json.load(f)
+        self.by_pieces = made["normalizer"] is None and made["pre_tokenizer"] == _BYTE_LEVEL and not any(re.search(r"\s", a) for a in self.added)
+        self.by_pieces = self.by_pieces and made["model"]["type"] == "BPE" and not made["model"].get("dropout") and self._by_pieces(_PROBES) == self._whole(_PROBES)
+        self.known, self.tails, self.missed = {}, {}, 0
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, dtype="<u4").tobytes() + self.end for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text with the end id, as little-endian bytes."""
+        texts = [t or "" for t in texts]
+        if not self.by_pieces:
+            return [x for k in range(0, len(texts), 64) for x in self._whole(texts[k : k + 64])]
+        odd = [k for k, t in enumerate(texts) if any(a in t for a in self.added)]
+        if not odd:
+            return self._by_pieces(texts)
+        out = self._by_pieces(["" if k in set(odd) else t for k, t in enumerate(texts)])
+        for k in odd:
+            out[k] = self._whole([texts[k]])[0]
+        return out
 
     def _ids(self, text: str) -> np.ndarray:
         return np.asarray(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -110,11 +142,10 @@ class Encoder:
             raw = self.tails[signs] = self._ids(signs).tobytes()
         return raw
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text with the end id, as little-endian bytes; at most some MB of text at a time."""
+    def _by_pieces(self, texts: list[str]) -> list[bytes]:
+        """At most some MB of text at a time."""
         out, heads, rests, size = [], [], [], 0
         for t in texts:
-            t = t or ""
             if len(" ".join(t.split())) == len(t):  # white space stands alone between visible characters
                 parts = t.replace("\n", " \n").split(" ")
                 head, rest = parts[0], parts[1:]
@@ -237,14 +268,12 @@ class FrameReader:
 
 def write_tokens(docs: DataFrame, vocabulary: Vocabulary, folder: str, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes the files; returns the manifest: a row per file with its number, path, documents, ids (all of them), first and last document."""
-    small_batches(docs.sparkSession)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, part = encoder(vocabulary), TaskContext.get().partitionId()
         fs, top = file_system(folder)
         path, writer, n = f"{top}/part-{part:06d}-{uuid.uuid4().hex[:8]}.tok.zst", None, 0
         stream = None
-        for b in batches:
+        for b in slices(batches):
             if not len(b):
                 continue
             if writer is None:
