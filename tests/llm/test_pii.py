@@ -81,6 +81,32 @@ def test_query(spark):
     assert not now & {e for e in left if "@" in e or len(e) > 14}
 
 
+def test_against_plain_patterns(spark):
+    """Independent of the finder: words stay as many, changed ones replace one another one to one over the whole corpus, keep their
+    shape of letters and digits, and no plain address or dotted quad of the input is left anywhere."""
+    import re
+
+    sf = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r.doc_id: r.text or "" for r in queries.op3_pii(spark, sf).collect()}
+    to, back, changed = {}, {}, 0
+    plain = re.compile(r"[a-z0-9._]+@[a-z0-9-]+\.[a-z]+|\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\b")
+    gone = set()
+    for d, t in docs.items():
+        a, b = t.split(), got[d].split()
+        assert len(a) == len(b)
+        gone |= set(plain.findall(t))
+        for x, y in zip(a, b):
+            if x != y:
+                changed += 1
+                if "@" in x:
+                    e, f = plain.search(x.lower())[0], plain.search(y.lower())[0]
+                    assert to.setdefault(e, f) == f and back.setdefault(f, e) == e
+                    assert [c.isdigit() for c in e] == [c.isdigit() for c in f]
+    left = {e for t in got.values() for e in plain.findall(t)}
+    assert changed > 50 and gone and not gone & left
+
+
 def test_collisions_are_seen(spark, monkeypatch):
     df = documents(spark, [(1, "a1@ex.org"), (2, "b2@ex.org"), (3, "a1@ex.org")])
     assert pii.collisions(df, "k").collect() == []

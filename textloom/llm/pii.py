@@ -9,7 +9,8 @@ corpus: the same entity gets the same surrogate in every document (coreference),
 decrypt. Letters stay vowels or consonants of their script and case, digits stay digits, punctuation stays; check digits are
 computed anew; first names of the lists stay within their list, so gender and script are kept; other names never become listed
 ones. ``collisions`` gathers the distinct entities of a corpus and reports any two of a kind that share a surrogate, which would
-be a defect; ``op3`` runs it first.
+be a defect. ``redact`` reads every text once: it writes texts with surrogates beside digests of what they stand for, checks the digests, and
+only then gives the texts out.
 
 Defined results: a null text stays null, an empty one empty; overlapping finds are taken from the left, the longer first; repeated
 rows get equal results; an empty table gives an empty result. Texts are handled in place; only distinct entities are shuffled.
@@ -21,7 +22,6 @@ import hashlib
 import ipaddress
 import re
 import unicodedata
-from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import small_batches
+from ._util import Scratch
 
 ROUNDS = 8
 FIRST_NAMES = {
@@ -197,6 +197,13 @@ def _found(text: str) -> list[tuple[int, int, str, str]]:
     return kept
 
 
+def _compared(kind: str, surrogate: str) -> str:
+    """A surrogate without what may be written in several ways."""
+    if kind in ("card", "phone", "ssn", "iban", "mac"):
+        return re.sub(r"[^\w+]", "", surrogate).lower()
+    return surrogate.lower() if kind in ("email", "name") else surrogate
+
+
 class Surrogates:
     def __init__(self, key: str):
         self.keyed = Keyed(key)
@@ -260,15 +267,26 @@ class Surrogates:
         t = text or ""
         return [(a, b, kind, g, *self.known(kind, t[a:b])) for a, b, kind, g in _found(t)]
 
+    def digests(self, found: list[tuple[int, int, str, str, str, str]]) -> list[dict]:
+        """Kind, surrogate as it is compared, and keyed digest of each distinct entity."""
+        return [
+            {"kind": kind, "surrogate": new, "entity": hashlib.blake2b(e.encode(), digest_size=16, key=self.keyed.key).digest()}
+            for kind, e, new in sorted({(kind, e, _compared(kind, new)) for _, _, kind, _, e, new in found})
+        ]
+
     def redact(self, text: str | None) -> tuple[str | None, int]:
+        text, found = self.replaced(text)
+        return text, len(found)
+
+    def replaced(self, text: str | None) -> tuple[str | None, list[tuple[int, int, str, str, str, str]]]:
         found = self.entities(text)
         if not found:
-            return text, 0
+            return text, found
         out, at = [], 0
         for a, b, _, _, _, new in found:
             out += [text[at:a], new]
             at = b
-        return "".join([*out, text[at:]]), len(found)
+        return "".join([*out, text[at:]]), found
 
 
 _made: dict[str, Surrogates] = {}
@@ -287,27 +305,19 @@ def script(s: str) -> str:
 
 
 def redact_column(text: Column, key: str) -> Column:
-    """struct<text, n_entities> as a column."""
+    """struct<text, n_entities, found> as a column; ``found`` has each distinct entity once, as a keyed digest, never in clear."""
 
-    @F.pandas_udf("text string, n_entities long")
+    @F.pandas_udf("text string, n_entities long, found array<struct<kind: string, surrogate: string, entity: binary>>")
     def run(t: pd.Series) -> pd.DataFrame:
         s = _surrogates(key)
-        return pd.DataFrame([s.redact(x) for x in t], columns=["text", "n_entities"])
+        return pd.DataFrame([(new, len(found), s.digests(found)) for new, found in map(s.replaced, t)], columns=["text", "n_entities", "found"])
 
     return run(text)
 
 
 def collisions(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """(kind, surrogate, n): surrogates shared by ``n`` different entities of a kind. Entities travel as keyed digests, never in clear."""
-    small_batches(docs.sparkSession)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        s = _surrogates(key)
-        for b in batches:
-            rows = {(kind, re.sub(r"[^\w+]", "", new).lower() if kind in ("card", "phone", "ssn", "iban", "mac") else new.lower() if kind in ("email", "name") else new, hashlib.blake2b(e.encode(), digest_size=16, key=s.keyed.key).digest()) for t in b["t"] for _, _, kind, _, e, new in s.entities(t)}
-            yield pd.DataFrame(list(rows), columns=["kind", "surrogate", "entity"])
-
-    return shared(docs.select(F.col(text_col).alias("t")).mapInPandas(run, "kind string, surrogate string, entity binary"))
+    return shared(docs.select(F.explode(redact_column(F.col(text_col), key)["found"]).alias("f")).select("f.*"))
 
 
 def shared(found: DataFrame) -> DataFrame:
@@ -317,7 +327,9 @@ def shared(found: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, text with surrogates, number of entities replaced. Fails if two entities share a surrogate."""
-    small_batches(docs.sparkSession)
-    if bad := collisions(docs, key, text_col).take(3):
+    scratch = Scratch(docs.sparkSession, "pii")
+    done = docs.select(F.col(id_col).alias("id"), redact_column(F.col(text_col), key).alias("r")).select("id", "r.*")
+    done = scratch.save(done, "redacted", compression="zstd")
+    if bad := shared(done.select(F.explode("found").alias("f")).select("f.*")).take(3):
         raise ValueError(f"entities share a surrogate: {bad}")
-    return docs.select(F.col(id_col).alias(id_col), redact_column(F.col(text_col), key).alias("r")).select(id_col, "r.text", "r.n_entities")
+    return done.select(F.col("id").alias(id_col), "text", "n_entities")
