@@ -1,8 +1,9 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from textloom import cli
+from textloom import boundary, cli, registry
 from textloom.streaming import incremental
 
 
@@ -20,6 +21,8 @@ def test_corpus_commands(spark, tmp_path, capsys):
     assert report["summary"]["valid_urls"] == 7 and report["domain_distribution"] == {"a.com": 6, "b.com": 1}
     assert cli.main(["collect", str(tmp_path / "in"), str(tmp_path / "c"), "--stats", str(tmp_path / "stats.json"), "--min-frequency", "2"]) == 0
     assert json.loads((tmp_path / "c" / "target_domains.json").read_text()) == {"total_domains": 1, "min_frequency": 2, "domains": {"a.com": 6}}
+    report = json.loads((tmp_path / "c" / "collection_report.json").read_text())
+    assert report.pop("collection_time") > "2020" and report == {"total_urls_processed": 8, "total_urls_collected": 6, "collection_rate": 75.0}
     assert cli.main(["sample", str(tmp_path / "c" / "domains"), str(tmp_path / "s"), "--sample-size", "4"]) == 0
     assert spark.read.json(str(tmp_path / "s")).count() == 4
     assert cli.main(["convert", str(tmp_path / "s"), str(tmp_path / "m")]) == 0
@@ -79,3 +82,40 @@ def test_upserts(spark, tmp_path):
         incremental.upsert_by_key(spark.readStream.schema("question_id string, v string").parquet(str(src)), table, str(tmp_path / "cp")).awaitTermination()
     assert sorted(map(tuple, incremental.snapshot(spark, table).collect())) == [("1", "a"), ("2", "c"), ("3", "d")]
     assert incremental.snapshot(spark, str(tmp_path / "none")) is None
+
+
+def test_upserts_take_the_last_row_and_may_run_again(spark, tmp_path):
+    src, table = tmp_path / "in", str(tmp_path / "t")
+    schema = "question_id string, v string, at long"
+    for k, rows in enumerate(([("1", "a", 1), ("1", "late", 9), ("1", "b", 2)], [("1", "c", 3), ("2", "d", 1)])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(src))
+        for again in range(2):  # a second checkpoint hands the same rows over once more
+            incremental.upsert_by_key(spark.readStream.schema(schema).parquet(str(src)), table, str(tmp_path / f"cp{k}{again}"), order="at", buckets=4).awaitTermination()
+    assert sorted(map(tuple, incremental.snapshot(spark, table).collect())) == [("1", "late", 9), ("2", "d", 1)]
+
+
+def test_a_model_is_asked_for_on_the_driver(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cli, "_model", lambda a: None)
+    for name in ("p.jsonl", "k.json"):
+        (tmp_path / name).write_text("{}\n")
+    with pytest.raises(ValueError, match="needs a model"):
+        cli.forward(spark, {"llm": True, "input_path": str(tmp_path / "p.jsonl"), "complexity_data": str(tmp_path / "k.json"), "output_path": str(tmp_path / "o.jsonl")})
+
+
+def test_sandbox_service_prefix_and_discovery(tmp_path, monkeypatch):
+    import threading
+
+    server = boundary.sandbox_server(boundary.LocalSandbox(prefix=("env", "-u", "LANG")))
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        client = boundary.HttpSandbox(f"http://127.0.0.1:{server.server_address[1]}/run", attempts=1)
+        good, bad = client([("print(input())", "hi"), ("raise SystemExit(3)", "")])
+        assert good.ok and good.stdout == "hi\n" and not bad.ok
+    finally:
+        server.shutdown()
+    (tmp_path / "found_tasks" / "deep").mkdir(parents=True)
+    for p, text in (("__init__.py", ""), ("deep/__init__.py", ""), ("deep/one.py", "from textloom.registry import register_forward\n\n\n@register_forward('deep_one')\ndef f(spark, settings):\n    return None\n")):
+        (tmp_path / "found_tasks" / p).write_text(text)
+    monkeypatch.syspath_prepend(str(tmp_path))
+    assert registry.discover("found_tasks") == ["found_tasks", "found_tasks.deep", "found_tasks.deep.one"]
+    assert "deep_one" in registry.FORWARDS

@@ -142,6 +142,8 @@ class LocalSandbox:
     processes: int = 50
     file_mb: int = 16
     concurrency: int = 4
+    #: Put before the command: a wrapper that isolates it, such as ``("bwrap", "--unshare-all", ...)``.
+    prefix: tuple[str, ...] = ()
 
     def _limits(self) -> None:
         import resource
@@ -157,7 +159,7 @@ class LocalSandbox:
             with open(path, "w", encoding="utf-8") as f:
                 f.write(code)
             env = {"PATH": "/usr/bin:/bin", "HOME": folder, "TMPDIR": folder, "LANG": "C.UTF-8", "PYTHONDONTWRITEBYTECODE": "1", "OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1"}
-            p = subprocess.Popen([sys.executable, "-I", path], cwd=folder, env=env, stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.PIPE, text=True, errors="replace", start_new_session=True, preexec_fn=self._limits)
+            p = subprocess.Popen([*self.prefix, sys.executable, "-I", path], cwd=folder, env=env, stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.PIPE, text=True, errors="replace", start_new_session=True, preexec_fn=self._limits)
             try:
                 out, err = p.communicate(stdin + "\n" if stdin else "", timeout=self.timeout)
             except subprocess.TimeoutExpired:
@@ -180,6 +182,33 @@ class LocalSandbox:
             return list(pool.map(lambda t: self.one(*t), tasks))
 
 
+def sandbox_server(sandbox: Sandbox, host: str = "127.0.0.1", port: int = 0):
+    """The service that ``HttpSandbox`` speaks to, around any sandbox: an HTTP server, to be started with ``serve_forever``."""
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self) -> None:
+            try:
+                body = json.loads(self.rfile.read(int(self.headers.get("Content-Length") or 0)))
+                if body.get("language", "python") != "python":
+                    raise ValueError(f"language: {body['language']}")
+                ran = sandbox([(body["code"], body.get("stdin") or "")])[0]
+                status, reply = 200, {"status": ran.status, "run_result": {"stdout": ran.stdout, "stderr": ran.stderr}}
+            except (ValueError, KeyError, AttributeError) as e:
+                status, reply = 400, {"status": "bad_request", "error": str(e)}
+            data = json.dumps(reply).encode()
+            self.send_response(status)
+            self.send_header("Content-Type", "application/json")
+            self.send_header("Content-Length", str(len(data)))
+            self.end_headers()
+            self.wfile.write(data)
+
+        def log_message(self, *a) -> None:
+            pass
+
+    return ThreadingHTTPServer((host, port), Handler)
+
+
 @dataclass(frozen=True)
 class HttpSandbox:
     """A sandbox service: POST of code, stdin, language and time limits; a reply with ``status`` and ``run_result``."""

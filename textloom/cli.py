@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .boundary import HttpModel
 from .operators import collect, convert, enrich, qa, sample, stats, validate
-from .registry import FORWARDS, register_forward
+from .registry import FORWARDS, discover, register_forward
 from .sources import files, sinks
 
 PAGE = "url string, content string, domain string, file_source string"
@@ -45,7 +45,10 @@ def cmd_collect(spark: SparkSession, a: argparse.Namespace) -> int:
     rows = collect.collect(pages, targets, file_column="_file").drop("_file")
     sinks.write_by_domain(rows, f"{a.output_dir}/domains")
     collect.by_file_and_domain(spark.read.json(f"{a.output_dir}/domains")).write.mode("overwrite").json(f"{a.output_dir}/collection_summary")
-    collect.collection_rate(pages, targets).show()
+    rate = collect.collection_rate(pages, targets)
+    rate.show()
+    totals = rate.first().asDict()
+    sinks.write_report(spark, {"total_urls_processed": totals["processed"], "total_urls_collected": totals["collected"], "collection_rate": totals["rate"]}, f"{a.output_dir}/collection_report.json", "collection_time")
     return 0
 
 
@@ -105,7 +108,9 @@ def forward(spark: SparkSession, settings: dict):
     facts = files.read_keyed_json(spark, settings["complexity_data"], FACTS)
     limit, model = int(settings.get("limit") or 0), settings.get("model")
     if settings.get("llm"):
-        records = qa.model_records(problems, facts, model or _model(None), limit, settings.get("prompt_template", qa.PROMPT))
+        if model is None and (model := _model(None)) is None:
+            raise ValueError("llm: true needs a model: neither settings nor the environment name an endpoint")
+        records = qa.model_records(problems, facts, model, limit, settings.get("prompt_template", qa.PROMPT))
     else:
         records = qa.basic_records(problems, facts, limit)
     sinks.write_records(records, settings["output_path"])
@@ -119,6 +124,8 @@ def cmd_run(spark: SparkSession, a: argparse.Namespace) -> int:
     except OSError:
         print(f"not found: {a.config}")
         return 1
+    for package in settings.get("packages", "").split():
+        discover(package)
     FORWARDS[settings["forward"]](spark, settings)
     return 0
 

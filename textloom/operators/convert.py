@@ -32,8 +32,8 @@ def convert(rows: DataFrame, content: str = "content", converter: Callable[[str]
                 out.append((x, "error"))
         return pd.DataFrame(out, columns=["content", "content_format"])
 
-    done = rows.withColumn("_done", run(F.col(content)))
-    return done.withColumns({content: F.col("_done.content"), "content_format": F.col("_done.content_format")}).drop("_done")
+    done = rows.withColumn("__textloom_done", run(F.col(content)))
+    return done.withColumns({content: F.col("__textloom_done.content"), "content_format": F.col("__textloom_done.content_format")}).drop("__textloom_done")
 
 
 def status(converted: DataFrame, by: str = "folder", file_column: str = "source_file") -> DataFrame:

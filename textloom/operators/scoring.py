@@ -36,20 +36,20 @@ def score_complexity(answers: DataFrame, judge: Model = no_judge, solution: str
     prompts are not sent."""
     s, given = F.coalesce(F.col(solution), F.lit("")), strip(F.coalesce(F.col(truth), F.lit("")))
     blank, no_truth = is_blank(s), given == ""
-    df = answers.withColumn("_found", extract_complexity(F.col(solution))).withColumn("_truth", given)
-    rule = F.coalesce(compare_complexity(F.col("_found"), F.col("_truth")), F.lit(False))
-    df = df.withColumn("_rule", rule)
-    needs = ~blank & ~no_truth & ~F.col("_rule")
-    df = df.withColumn("_yes", is_yes(ask(F.when(needs, render(prompt, response=s, ground_truth=F.col("_truth"))), judge)))
+    df = answers.withColumn("__textloom_found", extract_complexity(F.col(solution))).withColumn("__textloom_truth", given)
+    rule = F.coalesce(compare_complexity(F.col("__textloom_found"), F.col("__textloom_truth")), F.lit(False))
+    df = df.withColumn("__textloom_rule", rule)
+    needs = ~blank & ~no_truth & ~F.col("__textloom_rule")
+    df = df.withColumn("__textloom_yes", is_yes(ask(F.when(needs, render(prompt, response=s, ground_truth=F.col("__textloom_truth"))), judge)))
     live = ~blank & ~no_truth
-    found = F.col("_found").isNotNull()
-    right = F.col("_rule") | F.col("_yes")
-    method = F.when(F.col("_rule"), "rule_based").when(found, "hybrid_rule_extract_llm_judge").when(F.col("_yes"), "llm_judgment").otherwise("extraction_failed")
+    found = F.col("__textloom_found").isNotNull()
+    right = F.col("__textloom_rule") | F.col("__textloom_yes")
+    method = F.when(F.col("__textloom_rule"), "rule_based").when(found, "hybrid_rule_extract_llm_judge").when(F.col("__textloom_yes"), "llm_judgment").otherwise("extraction_failed")
     out = df.withColumns({
         "score": F.when(live & right, 1.0).otherwise(0.0),
         "valid_response": F.when(blank, 0).otherwise(1),
-        "extracted_complexity": F.when(live, F.when(found, F.col("_found")).when(F.col("_yes"), F.lit("LLM_DETERMINED"))),
-        "ground_truth_complexity": F.when(live, F.col("_truth")),
+        "extracted_complexity": F.when(live, F.when(found, F.col("__textloom_found")).when(F.col("__textloom_yes"), F.lit("LLM_DETERMINED"))),
+        "ground_truth_complexity": F.when(live, F.col("__textloom_truth")),
         "is_correct": F.when(live, right),
         "method_used": F.when(live, method),
         "has_clear_notation": F.when(live, has_notation(s)),
@@ -57,7 +57,7 @@ def score_complexity(answers: DataFrame, judge: Model = no_judge, solution: str
         "response": F.when(live, F.substring(s, 1, SHOWN)),
         "error": F.when(~blank & no_truth, "Empty ground truth"),
     })
-    return out.drop("_found", "_truth", "_rule", "_yes")
+    return out.drop("__textloom_found", "__textloom_truth", "__textloom_rule", "__textloom_yes")
 
 
 def score_code(answers: DataFrame, sandbox: Sandbox, solution: str = "solution_str", imports: str = "import_code", tests: str = "test_code", strict: bool = False) -> DataFrame:

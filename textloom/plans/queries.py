@@ -12,6 +12,7 @@ from ..functions.json_text import extract_json
 from ..functions.text import compare_complexity, normalize_complexity, parse_queries
 from ..functions.urls import SQL_DOMAIN, SQL_PROTOCOL, domain, has_url, protocol
 from ..operators import collect, convert, enrich, qa, sample, scoring, stats, validate
+from ..sources import files, sinks
 from . import cases
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -388,3 +389,55 @@ def html_to_markdown(spark, sf_dir):
 def markdown_cases(spark, sf_dir):
     df = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(cases.MARKDOWN)], "case_id long, content string")
     return convert.convert(df).select("case_id", "content")
+
+
+# -- readers and writers: each writes its table below the shared folder and reads it back
+_LABELS = "doc_id bigint, quality bigint, toxic bigint"
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "labels").selectExpr(*(f"cast({c.split(' ')[0]} as bigint) as {c.split(' ')[0]}" for c in _LABELS.split(", ")))
+
+
+@query("select doc_id::bigint as doc_id, quality::bigint as quality, toxic::bigint as toxic from labels")
+def json_array_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = enrich._folder(spark, "arrays")
+    sinks.write_records(_labels(spark, sf_dir), path)
+    return files.read_json_arrays(spark, path, _LABELS).drop("source_file")
+
+
+@query("select doc_id::varchar as question_id, quality::bigint as quality, toxic::bigint as toxic from labels where doc_id is not null")
+def keyed_json_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key stands twice; the row that is last in ``_order`` counts."""
+    path = f"{enrich._folder(spark, 'keyed')}.json"
+    rows = _labels(spark, sf_dir).withColumnRenamed("doc_id", "question_id")
+    first = rows.selectExpr("question_id", "-1L as quality", "-1L as toxic", "0 as _order")
+    sinks.write_keyed(first.unionByName(rows.withColumn("_order", F.lit(1))), path)
+    return files.read_keyed_json(spark, path, "quality bigint, toxic bigint")
+
+
+@query("select doc_id::varchar as question_id, source as task_id, n_chars::bigint as n_chars from documents where doc_id is not null")
+def problem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key stands on two lines of a file; the later line counts."""
+    path = enrich._folder(spark, "lines")
+    docs = _read(spark, sf_dir, "documents").where("doc_id is not null")
+    rows = docs.selectExpr("doc_id as question_id", "source as task_id", "cast(n_chars as bigint) as n_chars", "1 as later")
+    both = rows.unionByName(rows.selectExpr("question_id", "'old' as task_id", "-1L as n_chars", "0 as later"))
+    both.repartition("question_id").sortWithinPartitions("later").drop("later").write.json(path)
+    return files.read_problems(spark, path, "question_id bigint, task_id string, n_chars bigint")
+
+
+@query("""
+select count(*)::bigint as total_lines, count(*) filter (where quality = 1)::bigint as valid_lines, (2 * count(*) filter (where quality <> 1))::bigint as total_errors,
+  count(*) filter (where toxic = 1)::bigint as total_warnings, coalesce(round(count(*) filter (where quality = 1) * 100.0::double / nullif(count(*), 0), 1), 0.0::double) as success_rate,
+  (count(*) filter (where quality <> 1)) = 0 as passed from labels where quality is not null and toxic is not null""")
+def validate_file_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record per label: one of low quality has a blank question and an unknown style, a toxic one a field too many."""
+    path = enrich._folder(spark, "records")
+    good = F.col("quality") == 1
+    reward = F.struct(F.lit("O(n)").alias("ground_truth"), F.when(good, "rule").otherwise("other").alias("style"))
+    record = F.struct(F.lit("t").alias("task_id"), F.when(good, "q").otherwise(" ").alias("question"), reward.alias("reward"), F.lit("s").alias("data_source"), F.lit("r").alias("repo_name"), F.struct(F.lit(1).alias("id")).alias("extra_info"), F.when(F.col("toxic") == 1, "more").alias("note"))
+    _labels(spark, sf_dir).where("quality is not null and toxic is not null").select(F.to_json(record).alias("value")).write.text(path)
+    totals = validate.validate_file(spark, path)[1]
+    kinds = "total_lines bigint, valid_lines bigint, total_errors bigint, total_warnings bigint, success_rate double, passed boolean"
+    return spark.createDataFrame([totals], kinds)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import importlib
 import json
+import pkgutil
 from collections.abc import Callable, Iterable
 
 import pandas as pd
@@ -34,6 +36,15 @@ def register_forward(name: str | Iterable[str]):
     return _register(FORWARDS, name)
 
 
+def discover(package: str) -> list[str]:
+    """Imports a package and all modules below it, so that what they register is known; returns their names."""
+    top = importlib.import_module(package)
+    below = sorted(m.name for m in pkgutil.walk_packages(getattr(top, "__path__", []), f"{package}."))
+    for name in below:
+        importlib.import_module(name)
+    return [package, *below]
+
+
 def register_reward_score(name: str | Iterable[str]):
     """A scorer: ``f(solution_str, ground_truth, extra_info) -> {"score": float, "extra_info": dict}``."""
     return _register(SCORERS, name)

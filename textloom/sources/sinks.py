@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import uuid
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +25,21 @@ def write_text(spark: SparkSession, text: str, path: str) -> None:
         out.close()
 
 
-def write_report(spark: SparkSession, report: dict, path: str) -> None:
-    """A report as indented JSON. Reports are small by construction: totals and top lists."""
+def replace_text(spark: SparkSession, text: str, path: str) -> None:
+    """A small file that readers see whole, as it was or as it is: written beside its place, then renamed over it."""
+    beside = f"{path}.{uuid.uuid4().hex[:8]}.new"
+    write_text(spark, text, beside)
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    source, fs = _path(spark, beside)
+    how = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(source, _path(spark, path)[0], how)
+
+
+def write_report(spark: SparkSession, report: dict, path: str, stamp: str | None = None) -> None:
+    """A report as indented JSON, with the time under the name ``stamp`` if one is given. Reports are small by construction: totals and top lists."""
+    if stamp:
+        report = {stamp: datetime.now(UTC).isoformat(timespec="seconds")} | report
     write_text(spark, json.dumps(report, ensure_ascii=False, indent=2), path)
 
 
