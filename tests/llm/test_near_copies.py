@@ -3,9 +3,11 @@ from collections import Counter
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from textloom.llm import near_copies
+from textloom.llm._util import marked
 
 from .common import clashing, documents
 
@@ -84,3 +86,13 @@ def test_edges(spark):
     assert kept.columns == df.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([(1 << 60) + 1, 3, 7, None, 10], key=str)
     assert near_copies.keep_one(documents(spark, [])).collect() == []
+
+
+def test_bitmap_knows_all_listed_rows_and_few_others(spark):
+    rows = spark.range(20_000).withColumn("piece", F.lit("x")).withColumn("maybe", F.lit(1))
+    listed = spark.range(0, 20_000, 7)
+    out = marked(rows, F.xxhash64("id"), listed, F.xxhash64("id"), "hit")
+    assert out.columns == ["id", "piece", "maybe", "hit"]
+    hits = {r["id"] for r in out.where("hit").collect()}
+    assert out.count() == 20_000 and hits >= set(range(0, 20_000, 7)) and len(hits) < 2_900
+    assert marked(rows, F.xxhash64("id"), listed.limit(0), F.xxhash64("id"), "hit").where("hit").count() == 0

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: A word: a run of anything but space, tab, LF, VT, FF and CR. ``bytes.split()`` splits in the same places.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Pieces of a bitmap of fixed size, 4 KB each, 4 MB in all.
+PIECES, PIECE_BITS = 1_024, 32_768
 _own: dict[str, str] = {}
 
 
@@ -118,6 +120,22 @@ class Scratch:
             pass
 
 
+def marked(rows: DataFrame, key: Column, listed: DataFrame, listed_key: Column, name: str) -> DataFrame:
+    """rows with a boolean ``name``: true wherever the long ``key`` is a ``listed_key`` of ``listed``, and for a few others.
+
+    It tells which rows need not be shuffled to meet a list that is too long to broadcast. The bitmap has 2^25 bits at any size of
+    the list, so the longer the list the more others are true (all of them far beyond 2^25 keys): join what is true with the list.
+    """
+    spot = lambda k: F.pmod(k, F.lit(PIECES * PIECE_BITS))
+    piece = F.floor(F.col("__mark_spot") / PIECE_BITS).cast("int")
+    bit = F.pmod("__mark_spot", F.lit(PIECE_BITS)).cast("int")
+    bitmap = listed.select(spot(listed_key).alias("__mark_spot")).groupBy(piece.alias("__mark_piece")).agg(F.bitmap_construct_agg(bit).alias("__mark_bits"))
+    found = rows.withColumn("__mark_spot", spot(key)).withColumn("__mark_piece", piece).join(F.broadcast(bitmap), "__mark_piece", "left")
+    byte = F.conv(F.hex(F.substring("__mark_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.call_function("shiftright", byte, F.pmod(bit, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return found.withColumn(name, F.coalesce(hit, F.lit(False))).drop("__mark_spot", "__mark_piece", "__mark_bits")
+
+
 def slices(batches, rows: int = 512):
     """Batches in slices of so many rows, for what holds several times its input. Spark itself bounds the bytes of a batch."""
     for b in batches:

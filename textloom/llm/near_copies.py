@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import STEP, Scratch, hashed_shingles, mixed
+from ._util import STEP, Scratch, hashed_shingles, marked, mixed
 from .components import connected
 from .simhash import TILE, _Forest, keep_first, majority
 
@@ -198,11 +198,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     sets = mine.groupBy("name").agg(F.min(F.struct("id", "th")).alias("x"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     sets = scratch.save(sets, "distinct")
     met, bands = _met(sets, scratch)
-    # One text of each set that meets another is read again for its shingles; all others travel no further than their sketch. Merged,
-    # never broadcast, so that the stage's shuffle is in proportion to its input at every size.
-    one = sets.join(met.select("name").distinct(), "name", "left_semi").select(F.col("x.id").alias("i2"), F.col("x.th").alias("th2")).hint("merge")
+    # One text of each set that meets another is read again for its shingles; all others travel no further than their sketch, but for
+    # a few that the bitmap takes for one of these. Merged, never broadcast, so that the stage's shuffle is in proportion to its input at every size.
+    one = sets.join(met.select("name").distinct(), "name", "left_semi").select(F.col("x.id").alias("i2"), F.col("x.th").alias("th2"))
+    one = scratch.save(one, "asked")
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("t"))
-    texts = texts.join(one, F.col("id").eqNullSafe(F.col("i2")) & (F.col("th") == F.col("th2")), "left_semi").select("t")
+    texts = marked(texts, F.xxhash64("id", "th"), one, F.xxhash64("i2", "th2"), "maybe").where("maybe")
+    texts = texts.join(one.hint("merge"), F.col("id").eqNullSafe(F.col("i2")) & (F.col("th") == F.col("th2")), "left_semi").select("t")
     held = texts.mapInPandas(hashes, "name long, h array<long>").groupBy("name").agg(F.first("h").alias("h"))
     groups = near_groups(met, bands, scratch.save(held, "sets"), scratch)
     return keep_first(docs, mine.select("id", "th", F.col("name").alias("node")), groups.select(F.col("fp").alias("node"), "root"), scratch, id_col, text_col)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import Scratch
+from ._util import Scratch, marked
 from .components import connected
 
 BLOCKS, RADIUS, SEED = 5, 3, 42
@@ -221,8 +221,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 def keep_first(docs: DataFrame, rows: DataFrame, roots: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
     """The rows of docs that stay, given ``rows(id, th, node)`` of all of them and ``roots(node, root)`` of the nodes in groups of several.
 
-    Decided on ids and hashes. The texts meet only the list of what goes, by a join that
-    shuffles them once at any size of the list; rows equal in id and text, of which one stays, are looked for and only then treated apart.
+    Decided on ids and hashes. Of the texts, those that a bitmap of the list of what goes knows nothing of stay in place; the
+    others are shuffled to meet the list, by the same join at any size of it. Rows equal in id and text, of which one stays, are looked for and only then treated apart.
     """
     rooted = scratch.save(rows.join(roots, "node", "left").select("id", "th", F.coalesce("root", "node").alias("root")), "rooted")
     least = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "th")).alias("least")
@@ -233,7 +233,9 @@ def keep_first(docs: DataFrame, rows: DataFrame, roots: DataFrame, scratch: Scra
     twice = rooted.groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("__gone_id"), F.col("th").alias("__gone_th"))
     twice = scratch.save(twice, "twice")
     on = F.col(id_col).eqNullSafe(F.col("__gone_id")) & (F.xxhash64(text_col) == F.col("__gone_th"))
-    kept = docs.join(gone.hint("merge"), on, "left_anti")
+    maybe = marked(docs, F.xxhash64(id_col, F.xxhash64(text_col)), gone, F.xxhash64("__gone_id", "__gone_th"), "__gone_maybe")
+    held = maybe.where("__gone_maybe").drop("__gone_maybe").join(gone.hint("merge"), on, "left_anti")
+    kept = maybe.where("not __gone_maybe").drop("__gone_maybe").unionByName(held)
     if twice.isEmpty():
         return kept
     again = kept.join(twice, on, "left_semi").withColumn("__gone_hash", F.xxhash64(text_col)).dropDuplicates([id_col, "__gone_hash"]).drop("__gone_hash")

@@ -29,15 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import Scratch, file_system, make_dir, slices
+from ._util import Scratch, file_system, make_dir, marked, slices
 
 LEAST = 100
 DATE = "2000-01-01T00:00:00Z"
 INDEX = "page_id long, archive string, offset long, length long, url string, digest string, record_type string, refers_to long"
 #: Ranges that lie at most so far apart are read as one, up to so many bytes at once.
 GAP, MOST = 64 << 10, 16 << 20
-#: Pieces of the bitmap of repeated digests, of 4 KB each.
-PIECES, PIECE_BITS = 1_024, 32_768
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:pages")
 
 
@@ -90,14 +88,9 @@ def referred(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Data
     id_ = F.col(id_col).cast("long")
     rows = pages.select(id_.alias("i"), F.col(url_col).alias("u"), html.alias("h"), F.sha2(html, 256).alias("d"), F.octet_length(html).cast("long").alias("n"))
     twins = rows.where(F.col("n") >= LEAST).groupBy("d").agg(F.count("*").alias("k"), F.min("i").alias("first")).where("k > 1 and first is not null").select("d", "first")
-    spot = F.pmod(F.xxhash64("d"), F.lit(PIECES * PIECE_BITS))
-    piece, bit = F.floor(spot / PIECE_BITS).cast("int"), F.pmod(spot, F.lit(PIECE_BITS)).cast("int")
-    bitmap = F.broadcast(twins.groupBy(piece.alias("piece")).agg(F.bitmap_construct_agg(bit).alias("bits")))  # 4 MB at most
-    marked = rows.withColumns({"piece": piece, "bit": bit}).join(bitmap, "piece", "left")
-    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    marked = marked.withColumn("again", F.coalesce(F.call_function("shiftright", byte, F.pmod("bit", F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1, F.lit(False)))
-    alone = marked.where(~F.col("again")).select("i", "u", "h", "d", "n", F.lit(None).cast("long").alias("ref"))
-    met = marked.where("again").select("i", "u", "h", "d", "n").join(twins, "d", "left")
+    rows = marked(rows, F.xxhash64("d"), twins, F.xxhash64("d"), "again")
+    alone = rows.where(~F.col("again")).select("i", "u", "h", "d", "n", F.lit(None).cast("long").alias("ref"))
+    met = rows.where("again").select("i", "u", "h", "d", "n").join(twins, "d", "left")
     return alone.unionByName(met.withColumn("ref", F.when(~F.col("i").eqNullSafe(F.col("first")), F.col("first"))).drop("first"))
 
 
