@@ -1,6 +1,7 @@
 import ast
 import json
 import re
+import time
 from urllib.parse import urlparse
 
 import pytest
@@ -107,6 +108,20 @@ def test_markdown_never_fails():
         assert isinstance(markdown.to_markdown(page), str)
 
 
+@pytest.mark.parametrize("page, out", [("<table><tr><td>x<tr>y<td>z</table>", "y\n\n| x |\n| --- |\n| z |"), ("y<s><s>z", "y~~~~z~~~~"), ("<b>x<p>y</p></b>", "**x\n\ny"), ("a</i>b", "ab")])
+def test_markdown_of_broken_pages(page, out):
+    assert markdown.to_markdown(page) == out
+
+
+@pytest.mark.parametrize("page", ["<div>{0}</section>{0}", "<i><p><b>{0}</i>{0}", "<div><b>{0}<p></p>{0}"])
+def test_markdown_takes_time_in_proportion(page):
+    first, second, _ = page.split("{0}")
+    head, last = first[: first.rindex("<")], first[first.rindex("<") :]
+    began = time.process_time()
+    markdown.to_markdown(head + last * 20_000 + second * 20_000)
+    assert time.process_time() - began < 5
+
+
 def test_markdown_of_pages(spark):
     for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect():
         if r.html:

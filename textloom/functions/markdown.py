@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from html.parser import HTMLParser
 
 SKIPPED = frozenset("head script style noscript template nav footer aside svg iframe button select textarea".split())
 BLOCKS = frozenset("html body address article blockquote center dd details div dl dt fieldset figcaption figure form h1 h2 h3 h4 h5 h6 header hr li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MARKS = {"b": "**", "strong": "**", "i": "*", "em": "*", "del": "~~", "s": "~~", "strike": "~~"}
+#: What a start tag ends, and the tags that shield it; others are ended by their own kind within any block.
+_ENDS = {"li": (("li",), ("ul", "ol")), "tr": (("tr",), ("table",))} | {t: (("td", "th"), ("tr", "table")) for t in ("td", "th")} | {t: (("dt", "dd"), ("dl",)) for t in ("dt", "dd")}
 _LANGUAGE = re.compile(r"(?:^|\s)(?:language|lang|highlight-source|brush:)[-\s]*([\w+#.-]+)")
 
 
@@ -23,11 +26,16 @@ def _fence(text: str, tick: str = "`", least: int = 3) -> str:
 
 
 class _Page(HTMLParser):
+    """Where the open elements of each tag lie in the stack is kept, so a tag costs no walk through it."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.out: list[str] = []  # finished blocks
         self.text: list[str] = []  # of the block being read
+        self.marks: list[int] = []  # where emphasis opens in the text
         self.stack: list[str] = []
+        self.open: dict[str, list[int]] = defaultdict(list)  # places in the stack by tag
+        self.solid, self.walls = [-1], [-1]  # places of blocks; of blocks but paragraphs
         self.skip = 0
         self.lists: list[int | None] = []  # running number of an ordered list, None for a bullet list
         self.lead = ""  # what the next block begins with
@@ -46,7 +54,7 @@ class _Page(HTMLParser):
             self.out.append("\n".join(quote + line if line or quote else line for line in block.split("\n")))
 
     def flush(self) -> None:
-        raw, self.text = "".join(self.text), []
+        raw, self.text, self.marks = "".join(self.text), [], []
         lines = [re.sub(r"[^\S\n]+", " ", x).strip() for x in raw.split("\n")]
         body = "  \n".join(x for x in lines if x)
         if self.rows is not None:
@@ -69,12 +77,33 @@ class _Page(HTMLParser):
             lines = ["| " + " | ".join(r) + " |" for r in rows]
             self._emit("\n".join([lines[0], "|" + " --- |" * width, *lines[1:]]))
 
+    # -- the stack
+    def _push(self, tag: str) -> None:
+        k = len(self.stack)
+        self.stack.append(tag)
+        self.open[tag].append(k)
+        if tag in BLOCKS:
+            self.solid.append(k)
+            if tag != "p":
+                self.walls.append(k)
+
+    def _pop(self) -> str:
+        t = self.stack.pop()
+        self.open[t].pop()
+        for places in (self.solid, self.walls):
+            if places[-1] == len(self.stack):
+                places.pop()
+        return t
+
+    def _last(self, *tags: str) -> int:
+        return max((p[-1] for t in tags if (p := self.open.get(t))), default=-1)
+
     # -- events
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         a = dict(attrs)
         if tag in SKIPPED or self.skip:
             if tag not in VOID:
-                self.stack.append(tag)
+                self._push(tag)
                 self.skip += tag in SKIPPED
             return
         if self.pre is not None:
@@ -83,7 +112,7 @@ class _Page(HTMLParser):
             elif tag == "br":
                 self.pre.append("\n")
             if tag not in VOID:
-                self.stack.append(tag)
+                self._push(tag)
             return
         if tag in BLOCKS:
             self.flush()
@@ -114,6 +143,7 @@ class _Page(HTMLParser):
                 self.rows = []
         elif tag == "tr" and self.rows is not None:
             self.rows.append([])
+            self.cell = False
         elif tag in ("td", "th") and self.rows is not None:
             if not self.rows:
                 self.rows.append([])
@@ -122,39 +152,28 @@ class _Page(HTMLParser):
         elif re.fullmatch("h[1-6]", tag):
             self.lead = "#" * int(tag[1]) + " "
         elif tag in MARKS:
+            self.marks.append(len(self.text))
             self.text.append(MARKS[tag])
         elif tag == "code":
             self.code_at = len(self.text)
         elif tag == "a":
             self.links.append((a.get("href") or "", len(self.text)))
         if tag not in VOID:
-            self.stack.append(tag)
+            self._push(tag)
 
     def _close_open(self, tag: str) -> None:
         """A start tag that ends an open element of its kind."""
-        also = {"td": "th", "th": "td", "dt": "dd", "dd": "dt"}.get(tag, tag)
-        stop = {"li": ("ul", "ol"), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "dt": ("dl",), "dd": ("dl",)}.get(tag, tuple(BLOCKS - {"p"}))
-        for t in reversed(self.stack):
-            if t in (tag, also):
-                self.handle_endtag(t)
-                return
-            if t in stop:
-                return
+        close, stop = _ENDS.get(tag, ((tag,), ()))
+        at = self._last(*close)
+        if at > (self._last(*stop) if stop else self.walls[-1]):
+            self.handle_endtag(self.stack[at])
 
     def handle_endtag(self, tag: str) -> None:
-        if tag not in self.stack:
+        at = self._last(tag)
+        if at < 0 or (not self.skip and tag not in BLOCKS and at < self.solid[-1]):  # an inline end tag does not end blocks
             return
-        if not self.skip and tag not in BLOCKS:
-            for t in reversed(self.stack):  # an inline end tag does not end blocks
-                if t == tag:
-                    break
-                if t in BLOCKS:
-                    return
-        while self.stack:
-            t = self.stack.pop()
-            self._ended(t)
-            if t == tag:
-                return
+        while len(self.stack) > at:
+            self._ended(self._pop())
 
     def _ended(self, t: str) -> None:
         if t in SKIPPED:
@@ -199,15 +218,14 @@ class _Page(HTMLParser):
 
     def _unmark(self, mark: str) -> None:
         """Closes emphasis: no space inside its marks, none at all if there is nothing between."""
-        at = next((k for k in range(len(self.text) - 1, -1, -1) if self.text[k] == mark), None)
-        if at is None:
+        if not self.marks:  # a block within has ended what it was opened in
             return
+        at = self.marks.pop()
         body = "".join(self.text[at + 1 :])
-        if not body.strip():
-            self.text[at:] = [body]
-        else:
+        if body.strip():
             front, back = body[: len(body) - len(body.lstrip())], body[len(body.rstrip()) :]
-            self.text[at:] = [front, mark, body.strip(), mark, " " if back else ""]
+            body = front + mark + body.strip() + mark + (" " if back else "")
+        self.text[at:] = [body]
 
     def handle_data(self, data: str) -> None:
         if self.skip:
@@ -224,6 +242,6 @@ def to_markdown(page: str) -> str:
     p.feed(page)
     p.close()
     while p.stack:
-        p._ended(p.stack.pop())
+        p._ended(p._pop())
     p.flush()
     return "\n\n".join(x for x in p.out if x.strip()).strip()

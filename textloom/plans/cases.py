@@ -31,7 +31,7 @@ URLS = [
 ]
 PLAIN_URLS = [u for u, *_ in URLS if u and "[" not in u and "]" not in u]
 
-#: solution, truth, score. The judge below stands in for a model.
+#: Fixed values, which must come out equal for right results: solution, truth, score. The judge below stands in for a model.
 COMPLEXITY = [
     ("O(n)", "O(n)", 1.0),
     ("The time complexity is O(log n)", "O(log n)", 1.0),
