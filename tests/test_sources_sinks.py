@@ -109,6 +109,19 @@ def test_records(spark, tmp_path):
     assert not sinks.write_records(df.limit(0), str(tmp_path / "no.jsonl")) and not (tmp_path / "no.jsonl").exists()
 
 
+def test_each_file_holds_one_array(spark, tmp_path):
+    """Also where there are more tasks than shuffle partitions, and where a task has more rows than an array takes."""
+    df = spark.range(2_000).repartition(20)
+    for name, cut in (("tasks", {}), ("cut", {"array_chars": 300})):
+        assert sinks.write_records(df, str(tmp_path / name), **cut)
+        found = [json.loads(p.read_text()) for p in (tmp_path / name).glob("part-*") if p.stat().st_size]
+        assert sorted(r["id"] for rows in found for r in rows) == list(range(2_000))
+        assert len(found) == 20 if name == "tasks" else len(found) > 60
+        assert files.read_json_arrays(spark, str(tmp_path / name), "id bigint").count() == 2_000
+    assert sinks.write_records(df, str(tmp_path / "one.json"), single_file=True, array_chars=300)
+    assert sorted(r["id"] for r in json.loads((tmp_path / "one.json").read_text())) == list(range(2_000))
+
+
 def test_keyed_output(spark, tmp_path):
     df = spark.createDataFrame([("1", "old", 1), ("1", "new", 2), ("", "x", 3), (None, "y", 4), ('q"', "z", 5)], "question_id string, t string, _order int")
     sinks.write_keyed(df, str(tmp_path / "k.json"))

@@ -49,24 +49,46 @@ def write_by_domain(df: DataFrame, path: str, domain: str = "domain", fmt: str =
     dealt.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).option("ignoreNullFields", "false").partitionBy(domain).format(fmt).save(path)
 
 
-def write_records(df: DataFrame, path: str, single_file: bool = False) -> bool:
-    """By the path's end: ``.jsonl`` JSON lines, anything else JSON arrays; nothing is written for no rows. A folder of files, or
-    one file if ``single_file`` (for deliverables that fit a task)."""
+def write_records(df: DataFrame, path: str, single_file: bool = False, array_chars: int = 8 << 20) -> bool:
+    """By the path's end: ``.jsonl`` JSON lines, anything else JSON arrays; nothing is written for no rows. A folder of files, each with
+    one array of about ``array_chars`` at most, or one file if ``single_file`` (for deliverables that fit a task)."""
     spark = df.sparkSession
     if df.isEmpty():
         return False
     lines = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    target = f"{path}.parts" if single_file else path
+    packed = lines.coalesce(1) if single_file else lines
     if path.lower().endswith(".jsonl"):
-        (lines.coalesce(1) if single_file else lines).write.mode("overwrite").text(f"{path}.parts" if single_file else path)
+        packed.write.mode("overwrite").text(target)
     else:
-        packed = lines.coalesce(1) if single_file else lines
-        arrays = packed.groupBy(F.spark_partition_id().alias("p")).agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("\n]")).alias("value")).select("value")
-        arrays.write.mode("overwrite").option("lineSep", "\n").text(f"{path}.parts" if single_file else path)
+        arrays = packed.mapInArrow(_arrays(array_chars, single_file), "value string")
+        arrays.write.mode("overwrite").option("lineSep", "\n").option("maxRecordsPerFile", 0 if single_file else 1).text(target)
     if single_file:
-        _join_parts(spark, f"{path}.parts", path)
+        _join_parts(spark, target, path)
     return True
 
 
+def _arrays(chars: int, joined: bool):
+    """Rows as texts of JSON arrays, each closed once it has so many characters; if ``joined``, as pieces of one array. A task holds one text."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        text = lambda begin, rows, end: pa.RecordBatch.from_arrays([pa.array([begin + ",\n".join(rows) + end], pa.string())], ["value"])
+        begin, rows, size = "[\n", [], 0
+        for batch in batches:
+            for row in batch.column(0):
+                if size >= chars:
+                    yield text(begin, rows, "," if joined else "\n]")
+                    begin, rows, size = "" if joined else "[\n", [], 0
+                rows.append(row.as_py())
+                size += len(rows[-1])
+        if rows:
+            yield text(begin, rows, "\n]")
+
+    return run
+
+
 def _join_parts(spark: SparkSession, folder: str, path: str) -> None:
     p, fs = _path(spark, folder)
     target, _ = _path(spark, path)
