@@ -135,6 +135,20 @@ def test_rounds_ask_only_for_failures(spark, tmp_path):
     assert enrich.enrich(p, None, old).where("complexity_data is not null").count() == 1
 
 
+def test_a_model_gets_a_batch_in_parts(spark):
+    """Of a batch only so many prompts are Python objects; replies and what is read from them stay with their rows."""
+    df = spark.range(1_000).coalesce(1).select("id", F.when(F.col("id") % 10 > 0, F.col("id").cast("string")).alias("p"))
+    model = lambda prompts: [f'{{"of": {p}, "at_once": {len(prompts)}}}' if int(p) % 7 else None for p in prompts]
+    plain = {r.id: r.a for r in df.select("id", boundary.ask(F.col("p"), model).alias("a")).collect()}
+    assert all((plain[k] is None) == (k % 10 == 0 or k % 7 == 0) for k in range(1_000))
+    found = {k: json.loads(a) for k, a in plain.items() if a}
+    assert all(v["of"] == k and v["at_once"] <= boundary.AT_ONCE for k, v in found.items())
+    both = df.select("id", boundary.ask(F.col("p"), model, lambda reply: reply and reply[:6]).alias("a")).collect()
+    assert all(r.a.reply == plain[r.id] and r.a.read == (r.a.reply and '{"of":') for r in both)
+    with pytest.raises(Exception, match="1 replies to 230 prompts"):
+        df.select(boundary.ask(F.col("p"), lambda prompts: ["x"])).collect()
+
+
 def test_prompt_fields(spark):
     only = spark.createDataFrame([("c", "", "text")], "python_code_only string, problem_description string, content string")
     f = enrich.prompt_fields(only)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..boundary import Model, ask
-from ..functions.json_text import extract_json
+from ..functions.json_text import json_text
 from ..functions.text import render
 
 NO_CODE = "# No code available"
@@ -82,7 +82,7 @@ def enrich(problems: DataFrame, model: Model | None, existing: DataFrame | None
         asked = todo.select("question_id", "task_id").join(prompts, "question_id")
         if calls:
             asked = asked.repartition(calls)
-        got = asked.withColumn("response", ask(F.col("_prompt"), model)).withColumn("complexity_data", extract_json(F.col("response")))
+        got = asked.withColumn("_got", ask(F.col("_prompt"), model, json_text)).withColumns({"response": F.col("_got.reply"), "complexity_data": F.col("_got.read")})
         got = got.select(*cols, (F.col("complexity_data").isNull() & F.lit(k < rounds - 1)).alias("needs_call"))
         got.write.mode("overwrite").parquet(f"{folder}/round{k}")
         got = spark.read.parquet(f"{folder}/round{k}")
